@@ -289,14 +289,14 @@ def sentence_units(documents: DataFrame, chunk: int = CHUNK) -> DataFrame:
     long = documents.where(F.length("text") > chunk).select("doc_id", "text")
     if long.isEmpty():
         return done
-    return done.unionByName(_long_units(long, chunk))
+    return done.unionByName(_long_units(cut(long.withColumn("row", F.monotonically_increasing_id())), chunk))
 
 
 def _long_units(long: DataFrame, chunk: int) -> DataFrame:
-    parts = long.select("doc_id", "text", F.posexplode(F.sequence(F.lit(0), F.length("text") - 1, F.lit(chunk))).alias("k", "low"))
+    parts = long.select("row", "text", F.posexplode(F.sequence(F.lit(0), F.length("text") - 1, F.lit(chunk))).alias("k", "low"))
     low = F.greatest(F.col("low") - MARGIN, F.lit(0))
-    parts = parts.select("doc_id", "k", "low", low.alias("base"), F.substr("text", low + 1, F.lit(chunk) + F.col("low") - low + MARGIN).alias("part"))
-    parts = parts.repartition(F.col("doc_id"), F.col("k"))
+    parts = parts.select("row", "k", "low", low.alias("base"), F.substr("text", low + 1, F.lit(chunk) + F.col("low") - low + MARGIN).alias("part"))
+    parts = parts.repartition(F.col("row"), F.col("k"))
 
     def find(batches):
         for ids, ks, lows, bases, texts in batches:
@@ -307,7 +307,7 @@ def _long_units(long: DataFrame, chunk: int) -> DataFrame:
                 es.append([{"place": p + base, "what": w, "mark": m, "boundary": b} for p, w, m, b in evs])
             yield ids, ks, fs, es
 
-    schema = "doc_id long, k int, f array<int>, events array<struct<place: int, what: int, mark: string, boundary: boolean>>"
+    schema = "row long, k int, f array<int>, events array<struct<place: int, what: int, mark: string, boundary: boolean>>"
     found = cut(map_batches(parts, find, schema))
 
     def scan(batches):
@@ -315,18 +315,18 @@ def _long_units(long: DataFrame, chunk: int) -> DataFrame:
             out = [(i, k, s) for i, chunks in zip(ids, fs) for k, s in enumerate(prefix_states([c["f"] for c in sorted(chunks, key=lambda c: c["k"])]))]
             yield [x[0] for x in out], [x[1] for x in out], [x[2] for x in out]
 
-    before = map_batches(found.groupBy("doc_id").agg(F.collect_list(F.struct("k", "f")).alias("fs")), scan, "doc_id long, k int, state int")
+    before = map_batches(found.groupBy("row").agg(F.collect_list(F.struct("k", "f")).alias("fs")), scan, "row long, k int, state int")
 
     def put(batches):
         for ids, states, es in batches:
             yield ids, [run([(e["place"], e["what"], e["mark"], e["boundary"]) for e in evs], STATES[s])[0] for s, evs in zip(states, es)]
 
-    boundaries = map_batches(found.join(before, ["doc_id", "k"]).select("doc_id", "state", "events"), put, "doc_id long, places array<int>")
-    by_doc = boundaries.groupBy("doc_id").agg(F.sort_array(F.flatten(F.collect_list("places"))).alias("places"))
+    boundaries = map_batches(found.join(before, ["row", "k"]).select("row", "state", "events"), put, "row long, places array<int>")
+    by_doc = boundaries.groupBy("row").agg(F.sort_array(F.flatten(F.collect_list("places"))).alias("places"))
 
     def trim(batches):
         for ids, texts, places in batches:
             out = [(i, a, b) for i, t, p in zip(ids, texts, places) for a, b in units_of(t, p)]
             yield [x[0] for x in out], [x[1] for x in out], [x[2] for x in out]
 
-    return map_batches(long.join(by_doc, "doc_id").select("doc_id", "text", "places"), trim, "doc_id long, start_pos int, end_pos int")
+    return map_batches(long.join(by_doc, "row").select("doc_id", "text", "places"), trim, "doc_id long, start_pos int, end_pos int")

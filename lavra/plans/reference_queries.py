@@ -134,11 +134,11 @@ def page_type_summary(s, d):
 
 
 def bookmark_ranges(s, d):
-    w = Window.partitionBy("process").orderBy("document_id", "page_number", "page_id")
-    p = _pages(s, d).where("process is not null and document_id is not null").withColumn("page", F.row_number().over(w))
-    marks = p.groupBy("process", "document_id").agg(F.min("page").alias("page"))
-    last = p.groupBy("process").agg(F.max("page").alias("last"))
-    return segments.ranges_from_marks(marks.join(last, "process"), "process", "page", "document_id", "last").select("process", "document_id", "start_page", "end_page")
+    """Each document of a process opens a range. Pages are counted per document first, so the windows run over documents."""
+    w = Window.partitionBy("process").orderBy("document_id")
+    docs = _pages(s, d).where("process is not null and document_id is not null").groupBy("process", "document_id").agg(F.count("*").alias("k"))
+    marks = docs.select("process", "document_id", (F.sum("k").over(w.rowsBetween(Window.unboundedPreceding, 0)) - F.col("k") + 1).alias("page"), F.sum("k").over(Window.partitionBy("process")).alias("last"))
+    return segments.ranges_from_marks(marks, "process", "page", "document_id", "last").select("process", "document_id", "start_page", "end_page")
 
 
 def gap_ranges(s, d):

@@ -145,6 +145,19 @@ def test_scan_noise(spark):
     assert "O perito constatou infiltração na laje do prédio e" in text and "R$ 1.254,00" in text and "fl. 03" not in text and "autos" not in text and "Verificou-se" in text
 
 
+@pytest.mark.parametrize("module, f", [
+    (scans, lambda p: scans.noise(p)), (site_lines, lambda p: site_lines.repeated_lines(p).select("page_id", "field_name", "line_no")), (encoding, lambda p: encoding.garbled_lines(p).select("page_id", "line_no", "restored")),
+])
+def test_models_too_large_to_broadcast(spark, monkeypatch, module, f):
+    """What is joined because it is too large to hold gives what a held model gives."""
+    wrong = SENTENCES[1].encode("utf-8").decode("latin-1")
+    extra = [(2000 + i, "s0", 900 + i, 3, f"O perit0 constatou infiltração na laje do pré-\ndio e rcstou. A infil-\ntraçã0\n{wrong}\nVerificou-\nse deformação", None, "O laudo complernentar") for i in range(4)]
+    df = corpus(spark, extra)
+    want = Counter(map(tuple, f(df).collect()))
+    monkeypatch.setattr(module, "bounded", lambda *a, **k: None)
+    assert Counter(map(tuple, f(df).collect())) == want and want
+
+
 # ---- personal information
 
 

@@ -256,6 +256,19 @@ def initials_column(given: str, between: str) -> Column:
     return F.array_distinct(F.concat(own, F.coalesce(full[F.col(given)], F.array().cast("array<string>")), middle))
 
 
+def ends_of(moves: DataFrame) -> DataFrame:
+    """``form, to, path`` with every move followed to its end by pointer jumping; ``path``: the last names on the way.
+
+    Moves lead to a last name of more rows, or of as many and earlier in the alphabet, so they hold no circle.
+    """
+    moves = cut(moves.select("form", "to", "path"))
+    while True:
+        on = moves.select(F.col("form").alias("to"), F.col("to").alias("then"), F.col("path").alias("rest"))
+        if on.join(moves.select("to"), "to", "left_semi").isEmpty():
+            return moves
+        moves = cut(moves.join(on, "to", "left").select("form", F.coalesce("then", "to").alias("to"), F.when(F.col("then").isNull(), F.col("path")).otherwise(F.concat("path", "rest")).alias("path")))
+
+
 def entities(rows: DataFrame) -> DataFrame:
     """``reg_id, entity`` for every row of ``reg_id, name, number`` that holds a name."""
     spark = rows.sparkSession
@@ -300,26 +313,26 @@ def entities(rows: DataFrame) -> DataFrame:
     close = close.select(F.col("a").alias("x"), F.col("b").alias("y")).union(close.select("b", "a"))
     close = close.join(lasts.select(F.col("last").alias("x"), F.col("n").alias("n_x")), "x").join(lasts.select(F.col("last").alias("y"), F.col("n").alias("n_y")), "y").where("n_y > n_x or n_y = n_x and y < x").select("x", "y", "n_y")
     # forms meet by an initial of their given name or of a name between, so that a last name of many people isn't paired with itself
-    keyed = forms.withColumn("initial", F.explode(initials_column("given", "between")))
-    left = keyed.join(close, keyed["last"] == close["x"]).select("x", "y", "n_y", F.col("given").alias("g1"), F.col("between").alias("b1"), "suffix", F.col("number").alias("d1"), "initial")
-    met = left.join(keyed.select(F.col("last").alias("y"), F.col("given").alias("g2"), F.col("between").alias("b2"), "suffix", F.col("number").alias("d2"), "initial"), ["y", "suffix", "initial"])
+    named = forms.withColumn("form", F.concat_ws("|", "last", "given", "between", "suffix", F.coalesce("number", F.lit(""))))
+    keyed = named.withColumn("initial", F.explode(initials_column("given", "between")))
+    left = keyed.join(close, keyed["last"] == close["x"]).select("y", "n_y", "form", F.col("given").alias("g1"), F.col("between").alias("b1"), "suffix", F.col("number").alias("d1"), "initial")
+    met = left.join(keyed.select(F.col("last").alias("y"), F.col("form").alias("to"), F.col("given").alias("g2"), F.col("between").alias("b2"), "suffix", F.col("number").alias("d2"), "rows", "initial"), ["y", "suffix", "initial"])
 
     def fit(batches):
-        for xs, ys, ns, g1s, b1s, sfs, d1s, g2s, b2s, d2s in batches:
-            out: list[list] = [[] for _ in range(7)]
-            for x, y, n, g1, b1, sf, d1, g2, b2, d2 in zip(xs, ys, ns, g1s, b1s, sfs, d1s, g2s, b2s, d2s):
+        for ys, ns, fs, g1s, b1s, d1s, ts, g2s, b2s, d2s, rs in batches:
+            out: list[list] = [[] for _ in range(6)]
+            for y, n, f, g1, b1, d1, t, g2, b2, d2, r in zip(ys, ns, fs, g1s, b1s, d1s, ts, g2s, b2s, d2s, rs):
                 g, b = same_part(g1, g2), same_between(b1, b2)
                 same = d1 is not None and d2 is not None and near_numbers(d1, d2)
                 if g and b and (same or (d1 is None or d2 is None) and (g == 2 or b == 2 and b1) or g == 2 and b == 2 and b1):
-                    for c, v in zip(out, (x, g1, b1, sf, d1, (2 if same else 0) * 10 + g + b, y)):
+                    for c, v in zip(out, (f, -((2 if same else 0) * 10 + g + b), -n, y, -r, t)):
                         c.append(v)
             yield out
 
-    moves = map_batches(met.select("x", "y", "n_y", "g1", "b1", "suffix", "d1", "g2", "b2", "d2"), fit, "last string, given string, between string, suffix string, number string, score int, right string")
-    moves = moves.groupBy("last", "given", "between", "suffix", "number").agg(F.max(F.struct("score", "right")).alias("best")).select("last", "given", "between", "suffix", "number", F.col("best.right").alias("right"))
-    on = [forms[c].eqNullSafe(moves[c]) for c in ("last", "given", "between", "suffix", "number")]
-    placed = forms.join(moves, on, "left").select(*(forms[c] for c in ("last", "given", "between", "suffix", "number", "rows", "owner")), F.coalesce(moves["right"], forms["last"]).alias("home"))
-    placed = placed.withColumn("own", F.when((F.col("owner") == F.col("home")) | (F.col("owner") == F.col("last")), F.col("number")))
+    moves = map_batches(met.select("y", "n_y", "form", "g1", "b1", "d1", "to", "g2", "b2", "d2", "rows"), fit, "form string, score int, n long, right string, rows long, to string")
+    moves = moves.groupBy("form").agg(F.min(F.struct("score", "n", "right", "rows", "to")).alias("best")).select("form", F.col("best.to").alias("to"), F.array("best.right").alias("path"))
+    placed = named.join(ends_of(moves), "form", "left").withColumn("path", F.coalesce("path", F.array("last"))).withColumn("home", F.element_at("path", -1))
+    placed = placed.withColumn("own", F.when((F.col("owner") == F.col("last")) | F.array_contains("path", F.col("owner")), F.col("number")))
 
     def solve(group: pd.DataFrame) -> pd.DataFrame:
         rows = list(zip(group["given"], group["between"], (None if pd.isna(x) else x for x in group["own"]), group["rows"]))

@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 
 from lavra.operators.canonical import Dictionary, deletes, map_values, weighted_distance
-from lavra.operators.names import entities, links, resolve, same_between, same_part, words
+from lavra.operators.names import ends_of, entities, links, resolve, same_between, same_part, words
 
 LIST = [("E1", "G", "Engenharia Civil"), ("E2", "G", "Medicina - Pediatria"), ("E3", "G", "Geologia"), ("H1", "H", "Avaliação de gleba rural até cem hectares"), ("H2", "H", "Avaliação de gleba rural acima de cem hectares")]
 
@@ -69,3 +69,15 @@ def test_links(spark):
     got = {(r.reg_a, r.reg_b) for r in links(df).where("reg_b < 100").collect()}
     assert got == {(1, 2), (1, 3), (1, 4), (2, 3), (2, 4), (3, 4), (5, 11), (9, 10)}
     assert entities(df.limit(0)).count() == 0
+
+
+def test_typing_errors_meet_at_the_end_of_their_moves(spark):
+    """Of two targets of one score the frequent one counts, and a typing error of a typing error follows it."""
+    spelled = ["Tramontele"] * 3 + ["Tramontelle"] * 2 + ["Tramontlle"] + ["Dupagafa"] * 3 + ["Dupagaffa"] * 2 + ["Dupagafffa"]
+    rows = [(i, f"Roberto Alves {last}", None) for i, last in enumerate(spelled)]
+    rows += [(100 + i, n, None) for i, n in enumerate(["Marlene Lima Petopegu", "Marlene Dias Bisemonli", "Roberto Alves Gucrucono"] * 2)]
+    e = {r.reg_id: r.entity for r in entities(spark.createDataFrame(rows, "reg_id long, name string, number string")).collect()}
+    assert len({e[i] for i in range(6)}) == 1 and len({e[i] for i in range(6, 12)}) == 1 and e[0] != e[6]
+    far = [(f"f{i}", f"f{i + 1}", [f"l{i + 1}"]) for i in range(9)]
+    got = {r.form: (r.to, len(r.path)) for r in ends_of(spark.createDataFrame(far, "form string, to string, path array<string>")).collect()}
+    assert got == {f"f{i}": ("f9", 9 - i) for i in range(9)}

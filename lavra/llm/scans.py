@@ -398,8 +398,8 @@ def noise(pages: DataFrame, ratio: float = 20.0) -> DataFrame:
     return lines.unionByName(heads).distinct()
 
 
-def contexts(pages: DataFrame, wanted: set[str]) -> dict[tuple[str, str], int]:
-    """How often the words in ``wanted`` follow a word (word before, word) or precede one (word, word after)."""
+def contexts(pages: DataFrame, wanted: set[str]) -> DataFrame:
+    """``a, b, n``: how often, from twice, the words in ``wanted`` follow a word (word before, word) or precede one (word, word after)."""
     sent = pages.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches):
@@ -415,10 +415,76 @@ def contexts(pages: DataFrame, wanted: set[str]) -> dict[tuple[str, str], int]:
                 counts = Counter()
         yield [p[0] for p in counts], [p[1] for p in counts], list(counts.values())
 
-    table = bounded(map_batches(pages.select("text"), run, "a string, b string, n long").groupBy("a", "b").agg(F.sum("n").alias("n")).where("n >= 2"))
-    if table is None:  # too many to hold: candidates are then ranked by cost and count alone
-        return {}
-    return dict(zip(zip(table["a"].to_pylist(), table["b"].to_pylist()), table["n"].to_pylist()))
+    return map_batches(pages.select("text"), run, "a string, b string, n long").groupBy("a", "b").agg(F.sum("n").alias("n")).where("n >= 2")
+
+
+def with_neighbours(line: str) -> list[tuple[str, str, str]]:
+    """The tokens of a line, each with the words before and after it."""
+    ts = line.split(" ")
+    low = [t.strip(_OUT).lower() for t in ts]
+    return list(zip(ts, ["", *low], [*low[1:], ""]))
+
+
+def numbered(rows: DataFrame) -> DataFrame:
+    """``rows``, written with a number of their own, since ids may be null or repeated."""
+    return cut(rows.withColumn("row", F.monotonically_increasing_id()))
+
+
+def with_pairs(rows: DataFrame, pairs: DataFrame, fixes: dict[str, list[str]]) -> DataFrame:
+    """``rows`` with the counts of the pairs that decide between candidates in each text, joined, as ``beside``."""
+    sent = rows.sparkSession.sparkContext.broadcast({w: c for w, c in fixes.items() if len(c) > 1})
+
+    def run(batches):
+        fixes = sent.value
+        for ids, texts in batches:
+            out: list[list] = [[] for _ in range(3)]
+            for row, text in zip(ids, texts):
+                asked = {p for x in (text or "").split("\n") for t, before, after in with_neighbours(x) for c in fixes.get(t.strip(_OUT).lower(), ()) for p in ((before, c), (c, after))}
+                for pair in asked:
+                    for column, v in zip(out, (row, *pair)):
+                        column.append(v)
+            yield out
+
+    rows = numbered(rows)
+    found = map_batches(rows.select("row", "text"), run, "row long, a string, b string").join(pairs, ["a", "b"])
+    return rows.join(found.groupBy("row").agg(F.collect_list(F.struct("a", "b", "n")).alias("beside")), "row", "left")
+
+
+class Asked(dict):
+    """Counts that note the words they were asked for and don't have; longer words than any in the vocabulary count 0."""
+
+    def get(self, word, default=0):
+        if word not in self and is_word(word):
+            self.missing.add(word)
+        return super().get(word, default)
+
+
+def reflowed(rows: DataFrame, counts: DataFrame) -> DataFrame:
+    """``page_id, text`` reflowed, the counts of words at divided lines joined; what is asked can depend on an answer, hence rounds."""
+    schema = "row long, word string"
+
+    def ask(batches):
+        for ids, texts, answers in batches:
+            out: list[list] = [[], []]
+            for row, text, got in zip(ids, texts, answers):
+                known = Asked((x["word"], x["n"]) for x in got)
+                known.missing = set()
+                if text:
+                    reflow(text.split("\n"), known)
+                for w in known.missing:
+                    out[0].append(row)
+                    out[1].append(w)
+            yield out
+
+    def run(batches):
+        for ids, texts, answers in batches:
+            yield ids, [reflow(t.split("\n"), {x["word"]: x["n"] for x in got}) if t else t for t, got in zip(texts, answers)]
+
+    rows = numbered(rows.select("page_id", "text", F.array().cast("array<struct<word:string,n:bigint>>").alias("answers")))
+    while not (asked := cut(map_batches(rows.select("row", "text", "answers"), ask, schema))).isEmpty():
+        found = asked.join(counts, "word", "left").fillna(0, ["n"]).groupBy("row").agg(F.collect_list(F.struct("word", "n")).alias("more"))
+        rows = cut(rows.join(found, "row", "left").select("row", "page_id", "text", F.concat("answers", F.coalesce("more", F.array().cast("array<struct<word:string,n:bigint>>"))).alias("answers")))
+    return map_batches(rows.select("page_id", "text", "answers"), run, "page_id long, text string")
 
 
 def as_written(word: str, like: str) -> str:
@@ -477,41 +543,46 @@ def reflow(lines: list[str], known: dict[str, int]) -> str:
 def repaired(pages: DataFrame, ratio: float = 20.0, block: int = 200_000) -> DataFrame:
     """``page_id, text``: each page as continuous paragraphs, without furniture, misread words and amounts restored.
 
-    Misread words are applied in blocks of ``block``, so that any number of them fits; null texts stay null.
+    Misread words are applied in blocks of ``block``, so that any number of them fits; pairs of words and known words that
+    are too many to hold are joined. Null texts stay null.
     """
     spark = pages.sparkSession
     counts = cut(count_words(pages))
     misread = cut(misread_words(counts, ratio)).where(F.size("candidates") > 0)
     heads = running_headers(pages).groupBy("page_id").agg(F.collect_set("line_no").alias("heads"))
-    known_table = bounded(counts.where("n >= 2").select("word", "n"))
-    known = {} if known_table is None else dict(zip(known_table["word"].to_pylist(), known_table["n"].to_pylist()))
+    known_words = counts.where("n >= 2").select("word", "n")
+    known_table = bounded(known_words)
+    known = None if known_table is None else dict(zip(known_table["word"].to_pylist(), known_table["n"].to_pylist()))
     blocks = max(1, -(-misread.count() // block))
     rows = pages.select("page_id", "page_number", "text").join(heads, "page_id", "left")
     for b in range(blocks):
         part = (misread if blocks == 1 else misread.where(F.pmod(F.xxhash64("word"), F.lit(blocks)) == b)).toArrow()
         fixes = dict(zip(part["word"].to_pylist(), part["candidates"].to_pylist()))
         unsure = {c for cs in fixes.values() if len(cs) > 1 for c in cs}
-        sent = spark.sparkContext.broadcast((fixes, contexts(pages, unsure) if unsure else {}, known))
+        pairs: dict[tuple[str, str], int] | None = {}
+        if unsure:
+            pair_rows = contexts(pages, unsure)
+            held = bounded(pair_rows)
+            pairs = None if held is None else dict(zip(zip(held["a"].to_pylist(), held["b"].to_pylist()), held["n"].to_pylist()))
+        rows = with_pairs(rows, pair_rows, fixes) if pairs is None else rows.withColumn("beside", F.lit(None).cast("array<struct<a:string,b:string,n:bigint>>"))
+        sent = spark.sparkContext.broadcast((fixes, pairs, known))
 
         def run(batches, sent=sent, last=b == blocks - 1, first=b == 0):
             fixes, pairs, known = sent.value
 
-            def one(number, text, heads):
+            def one(number, text, heads, beside):
                 if not text:
                     return text
                 lines = text.split("\n")
                 if first:
                     drop = set(heads or ()) | set(page_number_lines(text, number))
                     lines = [x for i, x in enumerate(lines, 1) if i not in drop]
-                out = []
-                for x in lines:
-                    ts = x.split(" ")
-                    low = [t.strip(_OUT).lower() for t in ts]
-                    out.append(" ".join(fix_token(t, low[k - 1] if k else "", low[k + 1] if k + 1 < len(ts) else "", fixes, pairs) for k, t in enumerate(ts)))
-                return reflow(out, known) if last else "\n".join(out)
-
-            for ids, numbers, texts, heads in batches:
-                yield ids, numbers, [one(n, t, h) for n, t, h in zip(numbers, texts, heads)], heads
-
-        rows = map_batches(rows.select("page_id", "page_number", "text", "heads"), run, "page_id long, page_number int, text string, heads array<int>")
-    return rows.select("page_id", "text")
+                near = {(x["a"], x["b"]): x["n"] for x in beside or ()} if pairs is None else pairs
+                out = [" ".join(fix_token(t, before, after, fixes, near) for t, before, after in with_neighbours(x)) for x in lines]
+                return reflow(out, known) if last and known is not None else "\n".join(out)
+
+            for ids, numbers, texts, heads, beside in batches:
+                yield ids, numbers, [one(*x) for x in zip(numbers, texts, heads, beside)], heads
+
+        rows = map_batches(rows.select("page_id", "page_number", "text", "heads", "beside"), run, "page_id long, page_number int, text string, heads array<int>")
+    return rows.select("page_id", "text") if known is not None else reflowed(rows, known_words)

@@ -158,6 +158,21 @@ def test_models_too_large_to_broadcast(spark, monkeypatch, module, f):
     assert Counter(map(tuple, f(df).collect())) == want and want
 
 
+def test_repair_with_models_too_large_to_hold(spark, monkeypatch):
+    """Words beside a misread word and counts at divided lines decide also where they are joined."""
+    extra = [(1000 + i, "s0", 500 + i, 1, "a casa nova\nda sala bonita\n" * 3, None, None) for i in range(60)]
+    extra += [(2000 + i, "s0", 900 + i, 3, f"da {w}a6a bonita\na {w}a6a nova\nO pré-\ndio e in-\nfil-\ntração", None, None) for i, w in enumerate("xyz")]
+    extra += [(None, None, None, None, t, None, None) for t in (None, "", "\n", "O perit0 da infil-\ntração")] * 2
+    df = corpus(spark, extra)
+    misread = [(f"{w}a6a", ["casa", "sala"]) for w in "xyz"]
+    monkeypatch.setattr(scans, "misread_words", lambda *a: spark.createDataFrame(misread, "word string, candidates array<string>"))
+    want = Counter(map(tuple, scans.repaired(df).collect()))
+    assert sum("da sala bonita a casa nova" in (t or "") for _, t in want) == 63  # 60 pages that show it, 3 repaired
+    monkeypatch.setattr(scans, "bounded", lambda *a, **k: None)
+    for block in (200_000, 2):
+        assert Counter(map(tuple, scans.repaired(df, block=block).collect())) == want
+
+
 # ---- personal information
 
 

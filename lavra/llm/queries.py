@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("p4_queries", "p5_queries", "p1_queries", "p2_queries", "p9_queries", "p7_queries", "p8_queries")
+MODULES = ("p1_queries", "p2_queries", "p3_queries", "p4_queries", "p5_queries", "p6_queries", "p7_queries", "p8_queries", "p9_queries")
 
 
 def _all(name: str) -> dict:

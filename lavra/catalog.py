@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("p3_queries", "p6_queries", "reference_queries")
+MODULES = ("reference_queries",)
 
 
 def _all(name: str) -> dict:

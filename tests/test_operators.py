@@ -5,7 +5,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from lavra.operators import layout, resolve, rules, segments, statistics
-from lavra.operators.similarity import damerau, near_pairs, segments as cuts
 from lavra.sources import readers, sinks
 
 
@@ -115,28 +114,6 @@ def test_statistics(spark):
     assert {(r.doc, r.score) for r in statistics.having_all(index, ["a", "c"]).collect()} == {(2, 2)}
 
 
-@pytest.mark.parametrize("a, b, most, want", [("abcd", "abdc", 1, 1), ("abcd", "abcd", 1, 0), ("abcd", "bacde", 1, None), ("abcd", "bacde", 2, 2), ("", "a", 1, 1), ("abc", "xyz", 2, None)])
-def test_damerau(a, b, most, want):
-    assert damerau(a, b, most) == want
-
-
-def test_near_pairs_is_complete(spark):
-    import itertools
-    import random
-
-    rng = random.Random(5)
-    base = ["".join(rng.choice("abcde") for _ in range(rng.randint(4, 9))) for _ in range(60)]
-    strings = set(base)
-    for s in base:
-        i = rng.randrange(len(s) - 1)
-        strings |= {s[:i] + s[i + 1 :], s[:i] + s[i + 1] + s[i] + s[i + 2 :], s[:i] + "z" + s[i:]}
-    strings = sorted(x for x in strings if len(x) >= 4)
-    want = {(min(a, b), max(a, b)) for a, b in itertools.combinations(strings, 2) if damerau(a, b, 1) is not None}
-    df = spark.createDataFrame([(s,) for s in strings + strings[:5] + [None, "ab"]], "s string")
-    assert {(r.a, r.b) for r in near_pairs(df, "s", 1).collect()} == want
-    assert sum(n for _, n in cuts(11, 2)) == 11
-
-
 def test_archives(spark, tmp_path):
     for name, entries in (("0001_a", {"b.pdf": b"2", "a.pdf": b"1", "c.txt": b"x"}), ("0001_b", {"z.pdf": b"9"})):
         with zipfile.ZipFile(tmp_path / f"{name}.zip", "w") as z:

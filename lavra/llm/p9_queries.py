@@ -1,8 +1,6 @@
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
-from lavra.llm.sentences import sentence_units
+from lavra.llm.sentences import sentence_units, sentences
 from lavra.runtime import table
 
 
@@ -12,10 +10,7 @@ def p9_found(spark, d):
 
 def p9_sentences(spark, d):
     """The units themselves, numbered within their document."""
-    docs = table(spark, d, "documents").select("doc_id", "text")
-    found = sentence_units(docs).groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start_pos", "end_pos"))).alias("units"))
-    rows = docs.join(found, "doc_id").select("doc_id", "text", F.posexplode("units").alias("i", "u"))
-    return rows.select("doc_id", (F.col("i") + 1).alias("unit_no"), F.substr("text", F.col("u.start_pos") + 1, F.col("u.end_pos") - F.col("u.start_pos")).alias("unit"))
+    return sentences(table(spark, d, "documents"))
 
 
 def queries():

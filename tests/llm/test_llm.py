@@ -217,25 +217,33 @@ def test_units(text, want):
 
 def test_chunks_compose_like_one_run(spark):
     rng = random.Random(9)
-    parts = ['Ele disse: "Vi. Fui." e saiu. ', "O Sr. Lima veio. ", "Fim!\n\n", "- item;\n", "“Sim. Não.” disse. ", "测得。“我。没有”说。", "«A. B.» fim. ", "x" * 30 + " "]
+    parts = ['Ele disse: "Vi. Fui." e saiu. ', "O Sr. Lima veio. ", "Fim!\n\n", "- item;\n", "“Sim. Não.” disse. ", "测得。“我。没有”说。", "«A. B.» fim. ", "x" * 30 + " ", "... ", " \n \n ", "บาท 45 ศาล "]
     texts = ["".join(rng.choice(parts) for _ in range(rng.randint(30, 90))) for _ in range(12)]
     rows = [(i, t) for i, t in enumerate(texts)] + [(3, texts[0]), (None, texts[1]), (50, None), (51, " ")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = Counter((r.doc_id, r.start_pos, r.end_pos) for r in sentences.sentence_units(df, chunk=300).collect())
-    assert got == Counter((i, a, b) for i, t in rows for a, b in sentences.units(t))
+    want = Counter((i, a, b) for i, t in rows for a, b in sentences.units(t, 10**9))
+    for chunk in (1, 7, 300, sentences.CHUNK):
+        got = Counter((r.doc_id, r.start_pos, r.end_pos) for r in sentences.sentence_units(df, chunk=chunk).collect())
+        assert got == want
+    units = Counter((r.doc_id, r.unit) for r in sentences.sentences(df).collect())
+    assert units == Counter((i, t[a:b]) for i, t in rows for a, b in sentences.units(t))
 
 
-def test_composition_is_associative():
+def test_a_text_of_five_million_characters():
+    one = 'O Sr. Lima veio às 10.30 h. Ele disse: "Vi. Fui." e saiu.\n\n'
+    got = sentences.units(one * (5_000_000 // len(one)))
+    assert len(got) == 2 * (5_000_000 // len(one)) and got[:2] == sentences.units(one) and got[-1][1] == len(one) * (5_000_000 // len(one)) - 2
+
+
+def test_prefix_scan_like_a_loop():
     rng = random.Random(1)
-    f, g, h = ([rng.randrange(len(sentences.STATES)) for _ in sentences.STATES] for _ in range(3))
-    c = sentences.compose
-    assert c(c(f, g), h) == c(f, c(g, h))
-    fs = [[rng.randrange(len(sentences.STATES)) for _ in sentences.STATES] for _ in range(13)]
-    state, want = 0, []
-    for x in fs:
+    n = len(sentences.STATES)
+    fs, first, want, state = [bytes(rng.randrange(n) for _ in range(n)) for _ in range(37)], [i in (0, 5, 6, 20) for i in range(37)], [], 0
+    for f, new in zip(fs, first):
+        state = 0 if new else state
         want.append(state)
-        state = x[state]
-    assert sentences.prefix_states(fs) == want
+        state = f[state]
+    assert sentences.prefix_states(fs, first) == want and sentences.prefix_states([], []) == []
 
 
 # ---- packing and mixing

@@ -8,14 +8,17 @@ abbreviations, nicknames and shortened names, each only where one person fits. A
 more often is borrowed and doesn't count; numbers a digit apart are one; else two numbers under one name are two namesakes.
 
 Defined results: null, blank and phrase names are in no pair; repeated rows are rows of their own and pair with each other;
-a form that fits several people stays by itself; groups are of distinct forms, so repeated rows never pile up in a task.
+a form that fits several people stays by itself. Groups are of distinct forms, so repeated rows never pile up in a task, and
+a last name is solved in parts that share no initial of a given name (forms of two parts can't be one person). The links of
+an entity of many rows are spread over salts. What is learned of the words of names is held while it has at most
+``BROADCAST_ROWS`` rows and joined to each row's words beyond; both give the same.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
-from collections import Counter, defaultdict
+from collections import Counter
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -124,8 +127,11 @@ def part_counts(rows: DataFrame) -> DataFrame:
     return map_batches(rows.select("name"), run, "part string, first long, n long").groupBy("part").agg(F.sum("first").alias("first"), F.sum("n").alias("n"))
 
 
-def parse(name: str, first_share: dict[str, float], fixed: dict[str, str], common: set[str]) -> tuple[str, str, str, str] | None:
-    """``(given, between, last, suffix)``; an organisation's kind is its given name, with ``@`` before it."""
+def parse(name: str, known: dict[str, tuple[float, str | None, bool]]) -> tuple[str, str, str, str] | None:
+    """``(given, between, last, suffix)``; an organisation's kind is its given name, with ``@`` before it.
+
+    ``known``: for a word how often it opens names, the word it is a misspelling of, and whether it is common.
+    """
     if is_phrase(name):
         return None
     ws, comma = words(name)
@@ -136,13 +142,12 @@ def parse(name: str, first_share: dict[str, float], fixed: dict[str, str], commo
     ws = [w for i, w in enumerate(ws) if w not in PARTICLES and not (i and w in SUFFIXES) and w != "eng"]
     if len(ws) < 2:
         return None
-    ws = [fixed.get(w, w) for w in ws]
+    ws = [(known[w][1] or w) if w in known else w for w in ws]
     # A last name first without a comma: the second word opens names and the first doesn't, or what ends it is no last name.
-    opens = [first_share.get(w, 0.0) if len(w) > 1 else 0.0 for w in ws]
-    if not comma and len(ws[0]) > 3 and ws[0] not in NICKNAMES and (len(ws[-1]) == 1 or opens[0] < 0.5 and (opens[1] >= 0.5 or len(ws) > 2 and (len(ws[1]) == 1 or ws[1] in NICKNAMES) and ws[-1] in common)):
+    opens = [known[w][0] if len(w) > 1 and w in known else 0.0 for w in ws]
+    common = ws[-1] in known and known[ws[-1]][2]
+    if not comma and len(ws[0]) > 3 and ws[0] not in NICKNAMES and (len(ws[-1]) == 1 or opens[0] < 0.5 and (opens[1] >= 0.5 or len(ws) > 2 and (len(ws[1]) == 1 or ws[1] in NICKNAMES) and common)):
         ws = [*ws[1:], ws[0]]
-    if len(ws[-1]) < 4:
-        return None
     return ws[0], " ".join(ws[1:-1]), ws[-1], suffix
 
 
@@ -201,20 +206,23 @@ def resolve(forms: list[tuple[str, str, str | None, int]]) -> list[int]:
     order = sorted(range(len(forms)), key=lambda i: (-precision(forms[i][:2]), forms[i][2] is None, -forms[i][3], forms[i][0], forms[i][1], forms[i][2] or ""))
     people: list[dict] = []
     out = [0] * len(forms)
-    by_given: dict[str, list[int]] = defaultdict(list)
+    holders: dict[str, list[int]] = {}  # people by given name
+    alike: dict[str, dict[str, int]] = {}  # given names seen so far that can be the same, for each one asked
 
-    def initials(given: str) -> set[str]:
-        return {"@"} if given[:1] == "@" else {given[0], *(x[0] for x in NICKNAMES.get(given, "").split())}
+    def like(given: str) -> dict[str, int]:
+        if given not in alike:
+            alike[given] = {h: g for h in holders if (g := same_part(given, h))}
+        return alike[given]
 
     for i in order:
         given, between, number, rows = forms[i]
         fits = []
-        seen = {p for c in initials(given) for p in by_given.get(c, ())}
-        for p in seen:
-            x = people[p]
-            g, b = same_part(given, x["given"]), same_between(between, x["between"])
-            if g and b:
-                fits.append((p, g, b, any(number is not None and near_numbers(number, d) for d in x["numbers"])))
+        for other, g in like(given).items():
+            for p in holders[other]:
+                x = people[p]
+                if b := same_between(between, x["between"]):
+                    fits.append((p, g, b, any(number is not None and near_numbers(number, d) for d in x["numbers"])))
+        fits.sort()
         with_number = [f for f in fits if f[3]]
         if with_number:
             fits = with_number
@@ -238,8 +246,12 @@ def resolve(forms: list[tuple[str, str, str | None, int]]) -> list[int]:
         else:
             p = len(people)
             people.append({"given": given, "between": between, "numbers": Counter(), "rows": 0})
-            for c in initials(given):
-                by_given[c].append(p)
+            if given not in holders:
+                holders[given] = []
+                for asked, found in alike.items():
+                    if g := same_part(asked, given):
+                        found[given] = g
+            holders[given].append(p)
         x = people[p]
         x["rows"] += rows
         if number is not None:
@@ -248,6 +260,11 @@ def resolve(forms: list[tuple[str, str, str | None, int]]) -> list[int]:
     return out
 
 
+def initials(given: str) -> set[str]:
+    """The first letters a given name can stand for; kinds of organisations have one of their own."""
+    return {"@"} if given[:1] == "@" else {given[0], *(x[0] for x in NICKNAMES.get(given, "").split())}
+
+
 def initials_column(given: str, between: str) -> Column:
     """The initials of a given name, of what a nickname stands for, and of the names between."""
     full = F.create_map(*(x for k, v in NICKNAMES.items() for x in (F.lit(k), F.array(*(F.lit("g" + n[0]) for n in v.split())))))
@@ -256,6 +273,21 @@ def initials_column(given: str, between: str) -> Column:
     return F.array_distinct(F.concat(own, F.coalesce(full[F.col(given)], F.array().cast("array<string>")), middle))
 
 
+def initial_classes(sets: list[str]) -> dict[str, str]:
+    """For each set of initials the class of all sets that hang together by shared initials, named by its least initial."""
+    classes: list[set[str]] = []
+    for s in sets:
+        mine = set(s)
+        rest = []
+        for c in classes:
+            if c & mine:
+                mine |= c
+            else:
+                rest.append(c)
+        classes = [*rest, mine]
+    return {s: min(next(c for c in classes if s[0] in c)) for s in sets}
+
+
 def ends_of(moves: DataFrame) -> DataFrame:
     """``form, to, path`` with every move followed to its end by pointer jumping; ``path``: the last names on the way.
 
@@ -269,9 +301,46 @@ def ends_of(moves: DataFrame) -> DataFrame:
         moves = cut(moves.join(on, "to", "left").select("form", F.coalesce("then", "to").alias("to"), F.when(F.col("then").isNull(), F.col("path")).otherwise(F.concat("path", "rest")).alias("path")))
 
 
+def _parsed(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """``reg_id, given, between, last, suffix, number`` of every row that holds a name."""
+    held = bounded(known)
+    schema = "reg_id long, given string, between string, last string, suffix string, number string"
+    as_dict = lambda ps, ss, rs, cs: {p: (s, r, c) for p, s, r, c in zip(ps, ss, rs, cs)}
+
+    def parse_all(items):
+        out: list[list] = [[] for _ in range(6)]
+        for i, name, number, words in items:
+            if name and (got := parse(name, words)):
+                for c, v in zip(out, (i, *got, number)):
+                    c.append(v)
+        return out
+
+    if held is not None:
+        sent = rows.sparkSession.sparkContext.broadcast(as_dict(*(held[c].to_pylist() for c in ("part", "share", "right", "common"))))
+
+        def read(batches):
+            for ids, names, numbers in batches:
+                yield parse_all((i, name, number, sent.value) for i, name, number in zip(ids, names, numbers))
+
+        return map_batches(rows, read, schema)
+
+    def ask(batches):
+        for (names,) in batches:
+            out = [(name, w) for name in names if name for w in dict.fromkeys(words(name)[0])]
+            yield [x[0] for x in out], [x[1] for x in out]
+
+    asked = map_batches(rows.select("name").distinct(), ask, "name string, part string").join(known, "part")
+    told = asked.groupBy("name").agg(F.collect_list(F.struct("part", "share", "right", "common")).alias("words"))
+
+    def read_told(batches):
+        for ids, names, numbers, told in batches:
+            yield parse_all((i, name, number, {x["part"]: (x["share"], x["right"], x["common"]) for x in ws or ()}) for i, name, number, ws in zip(ids, names, numbers, told))
+
+    return map_batches(rows.join(told, "name", "left").select("reg_id", "name", "number", "words"), read_told, schema)
+
+
 def entities(rows: DataFrame) -> DataFrame:
     """``reg_id, entity`` for every row of ``reg_id, name, number`` that holds a name."""
-    spark = rows.sparkSession
     rows = rows.select("reg_id", "name", F.nullif(F.regexp_replace("number", r"\D", ""), F.lit("")).alias("number"))
     parts = cut(part_counts(rows))
     pairs = near_pairs(parts, "part", 1)
@@ -279,27 +348,16 @@ def entities(rows: DataFrame) -> DataFrame:
     both = pairs.join(n.select(F.col("part").alias("a"), F.col("n").alias("n_a")), "a").join(n.select(F.col("part").alias("b"), F.col("n").alias("n_b")), "b")
     both = cut(both)
     # Rare spellings of the closed set of given and middle names are set right by frequency alone.
-    rare = both.select(F.expr("if(n_a <= n_b, a, b)").alias("wrong"), F.expr("if(n_a <= n_b, b, a)").alias("right"), F.expr("least(n_a, n_b)").alias("n_wrong"), F.expr("greatest(n_a, n_b)").alias("n_right"))
+    rare = both.select(F.expr("if(n_a <= n_b, a, b)").alias("part"), F.expr("if(n_a <= n_b, b, a)").alias("right"), F.expr("least(n_a, n_b)").alias("n_wrong"), F.expr("greatest(n_a, n_b)").alias("n_right"))
     total = n.agg(F.sum("n")).first()[0] or 0
-    common = n.where((F.col("n") >= 3) & (F.col("n") * 400 >= total)).select(F.col("part").alias("right"), "first", F.col("n").alias("all_n"))
-    fixed_rows = bounded(rare.where("n_right >= 4 * n_wrong").join(common, "right").groupBy("wrong").agg(F.max_by("right", "n_right").alias("right")).join(n.select(F.col("part").alias("wrong")), "wrong"))
-    share_rows = bounded(n.where("first * 2 >= n and n >= 2").select("part", (F.col("first") / F.col("n")).alias("share")))
-    fixed = {} if fixed_rows is None else {w: r for w, r in zip(fixed_rows["wrong"].to_pylist(), fixed_rows["right"].to_pylist()) if not swapped_gender(w, r)}
-    share = {} if share_rows is None else dict(zip(share_rows["part"].to_pylist(), share_rows["share"].to_pylist()))
-    known = bounded(common.select("right"))
-    sent = spark.sparkContext.broadcast((share, fixed, set() if known is None else set(known["right"].to_pylist())))
-
-    def read(batches):
-        share, fixed, common = sent.value
-        for ids, names, numbers in batches:
-            out: list[list] = [[] for _ in range(6)]
-            for i, name, number in zip(ids, names, numbers):
-                if name and (got := parse(name, share, fixed, common)):
-                    for c, v in zip(out, (i, *got, number)):
-                        c.append(v)
-            yield out
-
-    parsed = cut(map_batches(rows, read, "reg_id long, given string, between string, last string, suffix string, number string"))
+    common = n.where((F.col("n") >= 3) & (F.col("n") * 400 >= total)).select("part", F.lit(True).alias("common"))
+    stem = lambda c: F.expr(f"substring({c}, 1, length({c}) - 1)")
+    gender = (F.length("part") == F.length("right")) & (stem("part") == stem("right")) & F.expr("array_sort(array(right(part, 1), right(`right`, 1))) = array('a', 'o')")
+    fixed = rare.where("n_right >= 4 * n_wrong").join(common.withColumnRenamed("part", "right"), "right").groupBy("part").agg(F.max_by("right", F.struct("n_right", "right")).alias("right")).where(~gender)
+    # a word seen once or twice at the beginning says little
+    share = n.where("first * 2 >= n").select("part", (F.col("first") / (F.col("n") + 2)).alias("share"))
+    known = cut(share.join(fixed, "part", "full").join(common, "part", "full").select("part", F.coalesce("share", F.lit(0.0)).alias("share"), "right", F.coalesce("common", F.lit(False)).alias("common")))
+    parsed = cut(_parsed(rows, known))
     forms = parsed.groupBy("given", "between", "last", "suffix", "number").agg(F.count("*").alias("rows"))
     # A number counts for the last name that holds it most often; elsewhere it is borrowed.
     holders = forms.where("number is not null").groupBy("number", "last").agg(F.sum("rows").alias("held"))
@@ -309,9 +367,11 @@ def entities(rows: DataFrame) -> DataFrame:
 
     # Last names with a typing error: another last name one edit away, under which the other parts fit.
     lasts = forms.groupBy("last").agg(F.sum("rows").alias("n"))
-    close = near_pairs(lasts, "last", 1, 5)
+    close = near_pairs(lasts, "last", 1)
     close = close.select(F.col("a").alias("x"), F.col("b").alias("y")).union(close.select("b", "a"))
-    close = close.join(lasts.select(F.col("last").alias("x"), F.col("n").alias("n_x")), "x").join(lasts.select(F.col("last").alias("y"), F.col("n").alias("n_y")), "y").where("n_y > n_x or n_y = n_x and y < x").select("x", "y", "n_y")
+    close = close.join(lasts.select(F.col("last").alias("x"), F.col("n").alias("n_x")), "x").join(lasts.select(F.col("last").alias("y"), F.col("n").alias("n_y")), "y").where("n_y > n_x or n_y = n_x and y < x")
+    # a short last name is one letter from many others: only a far more frequent one is meant
+    close = close.where("least(length(x), length(y)) >= 5 or n_y >= 4 * n_x").select("x", "y", "n_y")
     # forms meet by an initial of their given name or of a name between, so that a last name of many people isn't paired with itself
     named = forms.withColumn("form", F.concat_ws("|", "last", "given", "between", "suffix", F.coalesce("number", F.lit(""))))
     keyed = named.withColumn("initial", F.explode(initials_column("given", "between")))
@@ -324,7 +384,7 @@ def entities(rows: DataFrame) -> DataFrame:
             for y, n, f, g1, b1, d1, t, g2, b2, d2, r in zip(ys, ns, fs, g1s, b1s, d1s, ts, g2s, b2s, d2s, rs):
                 g, b = same_part(g1, g2), same_between(b1, b2)
                 same = d1 is not None and d2 is not None and near_numbers(d1, d2)
-                if g and b and (same or (d1 is None or d2 is None) and (g == 2 or b == 2 and b1) or g == 2 and b == 2 and b1):
+                if g and b and (same or (d1 is None or d2 is None) and (g == 2 or b == 2 and b1 or len(y) >= 7) or g == 2 and b == 2 and b1):
                     for c, v in zip(out, (f, -((2 if same else 0) * 10 + g + b), -n, y, -r, t)):
                         c.append(v)
             yield out
@@ -334,18 +394,36 @@ def entities(rows: DataFrame) -> DataFrame:
     placed = named.join(ends_of(moves), "form", "left").withColumn("path", F.coalesce("path", F.array("last"))).withColumn("home", F.element_at("path", -1))
     placed = placed.withColumn("own", F.when((F.col("owner") == F.col("last")) | F.array_contains("path", F.col("owner")), F.col("number")))
 
+    # forms that share no initial, not even through others, are solved apart; a last name has few sets of initials
+    letters = {k: "".join(sorted(initials(k))) for k in NICKNAMES}
+    own = F.create_map(*(F.lit(x) for k, v in letters.items() for x in (k, v)))
+    placed = cut(placed.withColumn("initials", F.coalesce(own[F.col("given")], F.substring("given", 1, 1))))
+
+    def classes(batches):
+        for homes, suffixes, sets in batches:
+            out = [(h, s, i, c) for h, s, ls in zip(homes, suffixes, sets) for i, c in initial_classes(sorted(ls)).items()]
+            yield [x[0] for x in out], [x[1] for x in out], [x[2] for x in out], [x[3] for x in out]
+
+    classed = map_batches(placed.groupBy("home", "suffix").agg(F.collect_set("initials").alias("sets")), classes, "home string, suffix string, initials string, class string")
+    placed = placed.join(classed, ["home", "suffix", "initials"])
+
     def solve(group: pd.DataFrame) -> pd.DataFrame:
         rows = list(zip(group["given"], group["between"], (None if pd.isna(x) else x for x in group["own"]), group["rows"]))
         people = resolve(rows)
-        return pd.DataFrame({"last": group["last"], "given": group["given"], "between": group["between"], "suffix": group["suffix"], "number": group["number"], "entity": [f"{h}|{s}|{p}" for h, s, p in zip(group["home"], group["suffix"], people)]})
+        return pd.DataFrame({"last": group["last"], "given": group["given"], "between": group["between"], "suffix": group["suffix"], "number": group["number"], "entity": [f"{h}|{s}|{c}|{p}" for h, s, c, p in zip(group["home"], group["suffix"], group["class"], people)]})
 
-    solved = placed.groupBy("home", "suffix").applyInPandas(solve, "last string, given string, between string, suffix string, number string, entity string")
+    spread = max(12, placed.sparkSession.sparkContext.defaultParallelism)
+    solved = placed.repartition(spread, "home", "suffix", "class").groupBy("home", "suffix", "class").applyInPandas(solve, "last string, given string, between string, suffix string, number string, entity string")
     solved = cut(solved)
     on = [parsed[c].eqNullSafe(solved[c]) for c in ("last", "given", "between", "suffix", "number")]
     return parsed.join(solved, on).select("reg_id", "entity")
 
 
-def links(rows: DataFrame) -> DataFrame:
-    """``reg_a, reg_b``: all pairs of rows whose names mean the same."""
-    e = cut(entities(rows))
-    return e.select(F.col("reg_id").alias("reg_a"), "entity").join(e.select(F.col("reg_id").alias("reg_b"), "entity"), "entity").where("reg_a < reg_b").select("reg_a", "reg_b")
+def links(rows: DataFrame, salt: int = 2000) -> DataFrame:
+    """``reg_a, reg_b``: all pairs of rows whose names mean the same; an entity is spread over a salt for each ``salt`` rows."""
+    e = cut(entities(rows).where("reg_id is not null"))
+    sizes = e.groupBy("entity").agg(F.ceil(F.count("*") / salt).cast("int").alias("salts")).where("salts > 1")
+    e = e.join(sizes, "entity", "left").fillna(1, ["salts"])
+    left = e.select(F.col("reg_id").alias("reg_a"), "entity", F.pmod(F.xxhash64("reg_id"), F.col("salts")).cast("int").alias("salt"))
+    right = e.select(F.col("reg_id").alias("reg_b"), "entity", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+    return left.join(right, ["entity", "salt"]).where("reg_a < reg_b").select("reg_a", "reg_b")

@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 
 from lavra.llm.canonical import Dictionary, deletes, map_values, weighted_distance
-from lavra.llm.names import ends_of, entities, links, resolve, same_between, same_part, words
+from lavra.llm.names import ends_of, entities, initial_classes, links, resolve, same_between, same_part, words
 
 LIST = [("E1", "G", "Engenharia Civil"), ("E2", "G", "Medicina - Pediatria"), ("E3", "G", "Geologia"), ("H1", "H", "Avaliação de gleba rural até cem hectares"), ("H2", "H", "Avaliação de gleba rural acima de cem hectares")]
 
@@ -81,3 +81,27 @@ def test_typing_errors_meet_at_the_end_of_their_moves(spark):
     far = [(f"f{i}", f"f{i + 1}", [f"l{i + 1}"]) for i in range(9)]
     got = {r.form: (r.to, len(r.path)) for r in ends_of(spark.createDataFrame(far, "form string, to string, path array<string>")).collect()}
     assert got == {f"f{i}": ("f9", 9 - i) for i in range(9)}
+
+
+SHORT = [
+    (1, "Maria Souza Luz", "111.111.111-11"), (2, "Maria S. Luz", "11111111111"), (3, "João Pereira Sá", None), (4, "JOAO P. SA", None), (5, "Ana Paula Reis", None), (6, "Ana P. Reis", None), (7, "Bene Dias Paz", None),
+    (8, "Rui X.", None), (9, "Rui X.", None), (10, "Benedito Dias Paz", None), (11, "Ana Paula Lima", "222"), (12, "Ana Paula Lira", "333"), (None, "Ana Paula Lima", None),
+]
+
+
+def test_short_last_names_link(spark):
+    got = {(r.reg_a, r.reg_b) for r in links(spark.createDataFrame(SHORT, "reg_id long, name string, number string")).collect()}
+    assert got == {(1, 2), (3, 4), (5, 6), (7, 10), (8, 9)}
+
+
+def test_names_joined_or_held_and_salted(spark, monkeypatch):
+    rows = SHORT + [(100 + i, n, None) for i, n in enumerate(["Roberto Alves Dupagafa", "Robertto Alves Dupagafa", "Dupagafa Roberto Alves", "Marlene Alves Petopegu", "Marlene Dias Bisemonli", "Roberto Lima Gucrucono"] * 4)]
+    df = spark.createDataFrame(rows, "reg_id long, name string, number string")
+    want = Counter(map(tuple, links(df).collect()))
+    assert Counter(map(tuple, links(df, salt=3).collect())) == want and {(100, 101), (100, 102)} <= set(want)
+    monkeypatch.setattr("lavra.llm.names.bounded", lambda *a, **k: None)
+    assert Counter(map(tuple, links(df).collect())) == want
+
+
+def test_initials_in_classes():
+    assert initial_classes(["a", "b", "bc", "cd", "e"]) == {"a": "a", "b": "b", "bc": "b", "cd": "b", "e": "e"}

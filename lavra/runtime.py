@@ -7,6 +7,7 @@ import uuid
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Rows a model may have before it is joined instead of broadcast.
 BROADCAST_ROWS = 400_000
@@ -40,6 +41,11 @@ def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> pa.Table | None:
     return got if got.num_rows <= rows else None
 
 
+def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` marked to be sent whole if a count shows at most ``rows`` rows, else left to a shuffled join."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

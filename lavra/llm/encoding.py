@@ -11,6 +11,11 @@ garbled if it is what a transformation makes of a token (as it stands, in capita
 twin, if undoing the transformation removes characters that clean text hardly has. Single substitutions that no encoding
 explains (scan errors) are never learned.
 
+The evidence is weighed where it lies: each pair is tested against all candidates, and only sums by the set of candidates
+that explain a pair are gathered (or, if there are too many such sets, summed again in each round of the inference). Tokens
+that are nothing but such characters have no stripped text: they are never joined on it but measured by the commonest of
+them. Verdicts too many to hold are joined; both ways restore token by token, at the token's place.
+
 Defined results: null or empty texts give no lines; text that consists of ASCII without question marks is never garbled;
 a line whose characters are lost (replaced by ``?`` or U+FFFD) is reported and restored where a twin fits, else its
 restored text is null; repeated rows are rows of their own; other columns are ignored.
@@ -19,7 +24,7 @@ restored text is null; repeated rows are rows of their own; other columns are ig
 from __future__ import annotations
 
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -35,6 +40,7 @@ LOST = ("?", "�")
 HYPHENS = "-¬­‐"
 
 _SPACE = re.compile(r"[ \n\t\r]+")
+_TOKEN = re.compile(r"[^ \n\t\r]+")
 _ODD = re.compile(r"[^\x00-\x7f]|\?")
 _EDGE = ".,;:()[]{}\"'!/|"
 _ASCII_RUN = re.compile(r"[\x00-\x3e\x40-\x7f]")
@@ -85,20 +91,23 @@ def hypotheses(alphabet: set[str]) -> list[Transformation]:
     return out
 
 
+def core(t: str) -> tuple[int, int] | None:
+    """Start and end of the record in a space-separated token, or None if it holds none."""
+    if t.isascii() and "?" not in t:
+        return None
+    begin, end = len(t) - len(t.lstrip(_EDGE)), len(t.rstrip(_EDGE))
+    if end - begin > 1 and t[end - 1] == "?" and _ODD.search(t, begin, end - 1):
+        end -= 1
+        body = t[begin:end]
+        begin, end = begin + len(body) - len(body.lstrip(_EDGE)), begin + len(body.rstrip(_EDGE))
+    if end - begin > 1 and t[end - 1] in HYPHENS:
+        end -= 1
+    return (begin, end) if begin < end and _ODD.search(t, begin, end) else None
+
+
 def tokens(text: str) -> list[str]:
     """The tokens of a text that can be records, edges stripped."""
-    out = []
-    for t in _SPACE.split(text):
-        if t.isascii() and "?" not in t:
-            continue
-        t = t.strip(_EDGE)
-        if len(t) > 1 and t[-1] == "?" and (not t[:-1].isascii() or "?" in t[:-1]):
-            t = t[:-1].strip(_EDGE)
-        if len(t) > 1 and t[-1] in HYPHENS:
-            t = t[:-1]
-        if t and _ODD.search(t):
-            out.append(t)
-    return out
+    return [t[c[0] : c[1]] for t in _SPACE.split(text) if (c := core(t))]
 
 
 def token_counts(pages: DataFrame) -> DataFrame:
@@ -138,20 +147,34 @@ def evidence(counts: DataFrame, ratio: float) -> DataFrame:
     return aligned.groupBy("garbled", "clean").agg(F.countDistinct("skeleton").alias("types"))
 
 
-def infer(pairs: list[tuple[str, str, int]], alphabet: set[str], min_types: int) -> list[Transformation]:
-    """The transformations that together explain the evidence, strongest first."""
-    left = {(g, c): n for g, c, n in pairs}
-    all_of = hypotheses(alphabet)
-    explains = [[k for k in left if t(k[1]) == k[0]] for t in all_of]
-    out = []
+def infer(evidence: DataFrame, candidates: list[Transformation], min_types: int) -> list[Transformation]:
+    """The transformations that together explain the evidence, strongest first; each pair counts for one of them."""
+    sent = evidence.sparkSession.sparkContext.broadcast(candidates)
+
+    def run(batches):
+        all_of = sent.value
+        for gs, cs, ns in batches:
+            yield [[i for i, t in enumerate(all_of) if t(c) == g] for g, c in zip(gs, cs)], ns
+
+    explained = map_batches(evidence.select("garbled", "clean", "types"), run, "by array<int>, types long").where(F.size("by") > 0)
+    left = cut(explained.groupBy("by").agg(F.sum("types").alias("types")))
+    held = bounded(left)
+    sets = None if held is None else list(zip(map(frozenset, held["by"].to_pylist()), held["types"].to_pylist()))
+    out: list[int] = []
     while True:
-        gains = [sum(left.get(k, 0) for k in ks) for ks in explains]
-        if not gains or (best := max(gains)) < min_types:
-            return out
-        i = gains.index(best)
-        out.append(all_of[i])
-        for k in explains[i]:
-            left.pop(k, None)
+        if sets is None:
+            top = left.where(~F.arrays_overlap("by", F.array(*map(F.lit, out)).cast("array<int>"))).select(F.explode("by").alias("i"), "types").groupBy("i").agg(F.sum("types").alias("types")).orderBy(F.desc("types"), "i").first()
+            best, gain = (top["i"], top["types"]) if top else (-1, 0)
+        else:
+            gains: Counter[int] = Counter()
+            for by, n in sets:
+                for i in by:
+                    gains[i] += n
+            best, gain = min(gains.items(), key=lambda x: (-x[1], x[0]), default=(-1, 0))
+            sets = [x for x in sets if best not in x[0]]
+        if gain < min_types:
+            return [candidates[i] for i in out]
+        out.append(best)
 
 
 class Undo:
@@ -188,12 +211,17 @@ def learn(pages: DataFrame, ratio: float = 5.0, min_types: int = 3, odd_share: f
     """The model, and the table ``token, restored`` of all garbled records (restored is null where it's lost)."""
     spark = pages.sparkSession
     counts = cut(token_counts(pages))
-    dominant = counts.groupBy("skeleton").agg(F.max("n").alias("most")).join(counts, "skeleton").withColumn("clean", F.col("n") * ratio >= F.col("most"))
-    chars = dominant.select("clean", "n", F.explode(F.split("token", "")).alias("c")).where("c rlike '[^\\\\x00-\\\\x7f]'").groupBy("c").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("clean"), F.col("n")).otherwise(0)).alias("clean")).collect()  # one row for each character of the script
+    # tokens without ASCII characters have no twins of their own; the commonest of them are clean
+    most = counts.where("skeleton = ''").agg(F.max("n")).first()[0] or 0
+    bare = counts.where("skeleton = ''").withColumn("most", F.lit(most))
+    named = counts.where("skeleton <> ''")
+    named = named.join(named.groupBy("skeleton").agg(F.max("n").alias("most")), "skeleton").select(*bare.columns)
+    dominant = named.unionByName(bare).withColumn("clean", F.col("n") * ratio >= F.col("most"))
+    by_char = dominant.select("clean", "n", F.explode(F.split("token", "")).alias("c")).where("c rlike '[^\\\\x00-\\\\x7f]'").groupBy("c")
+    chars = by_char.agg(F.sum("n").alias("n"), F.sum(F.when(F.col("clean"), F.col("n")).otherwise(0)).alias("clean")).collect()  # one row for each character of the script
     odd = {r.c for r in chars if r.clean < odd_share * r.n}
     alphabet = {r.c for r in chars if r.c not in odd} - set(LOST) | set(HYPHENS[1:])
-    found = [(r.garbled, r.clean, r.types) for r in evidence(counts, ratio).where("length(garbled) <= 24 and length(clean) <= 4").collect()]  # pairs of short runs: bounded by the alphabet
-    learned = infer(found, alphabet, min_types)
+    learned = infer(evidence(counts, ratio), hypotheses(alphabet), min_types)
     sent = spark.sparkContext.broadcast((learned, odd))
 
     def forward(batches):
@@ -225,52 +253,105 @@ def learn(pages: DataFrame, ratio: float = 5.0, min_types: int = 3, odd_share: f
     return Model(learned, known, odd, alphabet), verdicts
 
 
+def line_ends(transformations: list[Transformation]) -> dict[str, str]:
+    """What became of hyphens at the end of a line, where nothing but them tells."""
+    return {g: c for t in transformations for c in HYPHENS[1:] if len(g := t.table.get(c, "")) > 1 and g[0] not in LOST}
+
+
+def restore(line: str, known: dict[str, str | None], ends: dict[str, str]) -> tuple[str | None, bool]:
+    """A line with its garbled tokens and end restored (None if some are lost), and whether it held any."""
+    bad = lost = False
+
+    def one(m):
+        nonlocal bad, lost
+        t = m[0]
+        if (c := core(t)) and (token := t[c[0] : c[1]]) in known:
+            bad = True
+            clean = known[token]
+            lost = lost or clean is None
+            return t if clean is None else t[: c[0]] + clean + t[c[1] :]
+        return t
+
+    out = _TOKEN.sub(one, line)
+    if not out.isascii():
+        body = out.rstrip()
+        for g in sorted(ends, key=len, reverse=True):
+            if body.endswith(g):
+                return (None if lost else body[: -len(g)] + ends[g] + out[len(body) :]), True
+    return (None if lost else out), bad
+
+
+def _odd_lines(text: str | None):
+    """The lines of a text, numbered from 1, that can hold garbled tokens."""
+    if text and _ODD.search(text):
+        for i, line in enumerate(text.split("\n"), 1):
+            if not line.isascii() or "?" in line:
+                yield i, line
+
+
 def garbled_lines(pages: DataFrame, ratio: float = 5.0, min_types: int = 3) -> DataFrame:
     """``page_id, line_no, line, restored``: the lines of ``text`` that wrong decoding changed."""
     model, verdicts = learn(pages, ratio, min_types)
-    sent = pages.sparkSession.sparkContext.broadcast(model)
-    schema = "page_id long, line_no int, line string, token string, restored string"
+    return _lines(pages.select("page_id", "text"), model, verdicts).select("page_id", "line_no", "line", "restored")
 
-    def run(batches):
-        m = sent.value
-        known = m.verdicts
-        ends = tuple(sorted({g for t in m.transformations for c in HYPHENS[1:] if len(g := t.table.get(c, "")) > 1 and g[0] not in LOST}))
-        cache: dict[str, list[str]] = {}
-        for ids, texts in batches:
-            out = [[] for _ in range(5)]
-            for page, text in zip(ids, texts):
-                if not text or not _ODD.search(text):
-                    continue
-                for i, line in enumerate(text.split("\n"), 1):
-                    if line.isascii() and "?" not in line:
-                        continue
-                    ts = tokens(line)
-                    if known is None:
-                        rows = [(page, i, line, t, None) for t in ts]
-                    else:
-                        bad = [t for t in ts if t in known]
-                        rows = []
-                        if bad or ends and line.rstrip().endswith(ends):
-                            rows.append((page, i, line, None, _restore(line, bad, known)))
-                    for r in rows:
-                        for column, v in zip(out, r):
-                            column.append(v)
-            yield out
-
-    lines = map_batches(pages.select("page_id", "text"), run, schema)
-    if model.verdicts is None:
-        joined = lines.drop("restored").join(verdicts, "token")
-        pairs = F.sort_array(F.collect_set(F.struct("token", "restored")), asc=False)
-        lost = F.max(F.col("restored").isNull())
-        lines = joined.groupBy("page_id", "line_no", "line").agg(pairs.alias("pairs"), lost.alias("lost"))
-        fixed = F.aggregate("pairs", F.col("line"), lambda acc, p: F.replace(acc, p["token"], F.coalesce(p["restored"], p["token"])))
-        lines = lines.withColumn("restored", F.when(~F.col("lost"), fixed))
-    return lines.select("page_id", "line_no", "line", "restored")
-
-
-def _restore(line: str, bad: list[str], known: dict[str, str | None]) -> str | None:
-    if any(known[t] is None for t in bad):
-        return None
-    for t in sorted(set(bad), key=len, reverse=True):
-        line = line.replace(t, known[t])
-    return line
+
+def _lines(pages: DataFrame, model: Model, verdicts: DataFrame) -> DataFrame:
+    """``row, page_id, line_no, line, restored`` of ``page_id, text``; ``row`` tells rows apart where verdicts are joined."""
+    sent = pages.sparkSession.sparkContext.broadcast((model.verdicts, line_ends(model.transformations)))
+    schema = "row long, page_id long, line_no int, line string, restored string"
+    columns = lambda out: [[x[i] for x in out] for i in range(len(out[0]))] if out else [[]] * 5
+    if model.verdicts is not None:
+
+        def run(batches):
+            known, ends = sent.value
+            for ids, texts in batches:
+                yield columns([(0, page, i, line, got[0]) for page, text in zip(ids, texts) for i, line in _odd_lines(text) if (got := restore(line, known, ends))[1]])
+
+        return map_batches(pages, run, schema)
+
+    def ask(batches):
+        for rows, ids, texts in batches:
+            yield columns([(row, page, i, line, t) for row, page, text in zip(rows, ids, texts) for i, line in _odd_lines(text) for t in {*tokens(line), None}])
+
+    def tell(batches):
+        _, ends = sent.value
+        for rows, ids, numbers, lines, told in batches:
+            out = []
+            for row, page, i, line, pairs in zip(rows, ids, numbers, lines, told):
+                restored, bad = restore(line, {x["token"]: x["restored"] for x in pairs}, ends)
+                if bad:
+                    out.append((row, page, i, line, restored))
+            yield columns(out)
+
+    rows = pages if "row" in pages.columns else pages.select(F.monotonically_increasing_id().alias("row"), "page_id", "text")
+    asked = cut(map_batches(rows.select("row", "page_id", "text"), ask, "row long, page_id long, line_no int, line string, token string"))
+    told = asked.join(verdicts.withColumn("known", F.lit(True)), "token", "left").where("known or token is null")
+    pairs = F.collect_list(F.when(F.col("known"), F.struct("token", "restored")))
+    return map_batches(told.groupBy("row", "page_id", "line_no", "line").agg(pairs.alias("pairs")), tell, schema)
+
+
+def restored_pages(pages: DataFrame, ratio: float = 5.0, min_types: int = 3) -> DataFrame:
+    """``page_id, text, lost_lines`` of every page with garbled lines; lost lines stay as they are and are listed."""
+    model, verdicts = learn(pages, ratio, min_types)
+    schema = "page_id long, text string, lost_lines array<int>"
+    if model.verdicts is not None:
+        sent = pages.sparkSession.sparkContext.broadcast((model.verdicts, line_ends(model.transformations)))
+
+        def run(batches):
+            known, ends = sent.value
+            for ids, texts in batches:
+                out: list[list] = [[], [], []]
+                for page, text in zip(ids, texts):
+                    found = {i: got[0] for i, line in _odd_lines(text) if (got := restore(line, known, ends))[1]}
+                    if found:
+                        lines = [x if found.get(i) is None else found[i] for i, x in enumerate(text.split("\n"), 1)]
+                        for c, v in zip(out, (page, "\n".join(lines), [i for i, x in found.items() if x is None])):
+                            c.append(v)
+                yield out
+
+        return map_batches(pages.select("page_id", "text"), run, schema)
+    numbered = cut(pages.select(F.monotonically_increasing_id().alias("row"), "page_id", "text"))
+    by_row = _lines(numbered, model, verdicts).groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct("line_no", "restored"))).alias("fixed"))
+    text = F.array_join(F.transform(F.split("text", "\n", -1), lambda x, i: F.coalesce(F.col("fixed")[(i + 1).cast("int")], x)), "\n")
+    lost = F.sort_array(F.map_keys(F.map_filter("fixed", lambda k, v: v.isNull())))
+    return numbered.join(by_row, "row").select("page_id", text.alias("text"), lost.alias("lost_lines"))

@@ -1,9 +1,7 @@
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
-from lavra.llm.encoding import garbled_lines
-from lavra.runtime import cut, table
+from lavra.llm.encoding import garbled_lines, restored_pages
+from lavra.runtime import table
 
 
 def p5_found(spark, d):
@@ -12,12 +10,7 @@ def p5_found(spark, d):
 
 def p5_restored(spark, d):
     """Every page with garbled lines: its text restored line by line; lost lines stay as they are and are listed."""
-    pages = table(spark, d, "pages")
-    lines = cut(garbled_lines(pages))
-    by_page = lines.groupBy("page_id").agg(F.map_from_entries(F.collect_list(F.struct("line_no", "restored"))).alias("fixed"))
-    text = F.array_join(F.transform(F.split("text", "\n", -1), lambda x, i: F.coalesce(F.col("fixed")[(i + 1).cast("int")], x)), "\n")
-    lost = F.sort_array(F.map_keys(F.map_filter("fixed", lambda k, v: v.isNull())))
-    return pages.select("page_id", "text").join(by_page, "page_id").select("page_id", text.alias("text"), lost.alias("lost_lines"))
+    return restored_pages(table(spark, d, "pages"))
 
 
 def queries():

@@ -5,13 +5,15 @@ automaton over the characters a scan confuses (``CONFUSIONS``; one or two charac
 within ``MAX_COST`` and the other is at least ``ratio`` times as frequent. Candidates are found by intersecting the
 automaton of the word with a trie of the vocabulary, in which each node knows the highest count below it, so the search is
 complete for that cost and ends where nothing below is frequent enough. They are ranked by cost, by the words beside them
-(in ``repaired``) and by count. Words that hold a figure or sign inside letters, and amounts that hold a letter inside
-figures, need no candidate.
+(in ``repaired``) and by count. Words that hold a figure or sign inside letters are misread for sure; if no confusion
+explains them, the automaton also allows one edit of any kind (another, a missing or an added character) at a higher cost.
+Amounts, dates and times are a language without a vocabulary: the same confusions are intersected with a finite automaton
+of their forms (``Amounts``), which gives the amount printed.
 
 Divided words: a line that ends in a hyphen is a case if the corpus has the joined word more often than the compound.
-Page numbers: first or last lines that hold only the page's number. Running headers: lines at the edge of a page that
-the document's header and footer fields print too, or that have the shape of such lines, unless ``OTHERS`` documents print
-them.
+Page numbers: first or last lines that hold only the page's number. Running headers: lines at the edge of a page (the
+first and last ``EDGE`` that aren't blank; what stands deeper is no furniture) that the document's header and footer fields
+print too, or that have the shape of such lines, unless ``OTHERS`` documents of the source print them.
 
 Defined results: null or empty fields give no rows; with a null ``document_id`` a page is its own document; repeated rows
 are rows of their own; ties between candidates go to the more frequent, then the lesser word; other columns are ignored.
@@ -27,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lavra.runtime import bounded, cut, map_batches
+from lavra.runtime import BROADCAST_ROWS, bounded, cut, map_batches
 
 FIELDS = ("text", "header", "footer")
 #: What is printed and what a scan reads instead: fixed values, as seen in scanned text in general.
@@ -40,13 +42,14 @@ CONFUSIONS = (
 #: Those that turn letters into other letters, which can also tell two real words apart.
 SOFT = {(a, b) for a, b in CONFUSIONS if b.isalpha()}
 COST, MAX_COST = 0.35, 0.7
+#: The cost of one edit of any kind in a word that is misread for sure.
+GENERAL = 1.0
 HYPHENS = "-¬­‐"
 CLITICS = {"se", "lo", "la", "los", "las", "lhe", "lhes", "me", "nos", "vos", "te", "o", "a", "os", "as"}
 
 _OUT = ".,;:()[]{}\"'«»“”?…—–|*%§$ºª°"
 _MAIL = re.compile(r"@[\w-]+\.|\[at\]|\.\w+\.|^https?:")
 _FIGURE_IN_WORD = re.compile(r"(?<=[a-zà-ÿ])[0-9!@]+(?=[a-zà-ÿ])|(?<=[a-zà-ÿ])\\/(?=[a-zà-ÿ])")
-_AMOUNT = re.compile(r"(?:(?=.*\d)(?=.*[lOSI])[\dlOSI]+(?:[.,:/-][\dlOSI]+)*|(?=.*\d)(?=.*[lOSIB])[\dlOSIB]+(?:[.,][\dlOSIB]+)+|(?=.*[OSl])[\dOSl]{3,5}A|(?=.*\dh|.*h\d)(?=.*[lOSI])[\dlOSI]{1,2}h[\dlOSI]{0,2})$")
 _PAGE = re.compile(r"\s*[—–\-\[(]?\s*(?:p[áa]g(?:ina|\.)?|fls?\.?|fo?lhas?)?\s*([\dlOSI]+)(?:\s*(?:/|de)\s*[\dlOSI]+)?\s*[—–\-\])]?\s*$", re.I)
 _FIGURES = str.maketrans("lIiOoSs", "1110055")
 _CODE = re.compile(r"(?=.*\d)[0-9a-f-]{5,}")
@@ -112,6 +115,55 @@ def count_words(pages: DataFrame) -> DataFrame:
     return map_batches(pages.select(*FIELDS), run, "word string, n long, titled long").groupBy("word").agg(F.sum("n").alias("n"), F.sum("titled").alias("titled"))
 
 
+#: Figures and what a scan reads instead: fixed values.
+FIGURES = {"0": "O", "1": "lI", "5": "S", "8": "B"}
+
+
+class Amounts:
+    """A finite automaton of the forms of amounts, dates, numbers and times, intersected with the confusions of figures.
+
+    A form is a list of arcs ``(state, what it reads, state after)``; ``d`` stands for a figure or one confused for it by
+    the letters in ``confused``. A reading is accepted if it has a figure and a confused figure.
+    """
+
+    FORMS = (
+        ("lOSI", ((0, "d", 1), (1, "d", 1), (1, ".,:/-", 0)), (1,), None),  # groups of figures
+        ("lOSIB", ((0, "d", 1), (1, "d", 1), (1, ".,", 2), (2, "d", 3), (3, "d", 3), (3, ".,", 2)), (3,), None),
+        ("lOS", ((0, "d", 1), (1, "d", 2), (2, "d", 3), (3, "d", 4), (4, "d", 5), (3, "A", 6), (4, "A", 6), (5, "A", 6)), (6,), None),  # a letter after the figures
+        ("lOSI", ((0, "d", 1), (1, "d", 2), (1, "h", 3), (2, "h", 3), (3, "d", 4), (4, "d", 5)), (3, 4, 5), "h"),  # times
+    )
+
+    def __init__(self):
+        self.tables = []
+        for confused, arcs, accept, beside in self.FORMS:
+            table: dict[tuple[int, str], tuple[int, str, bool]] = {}
+            for state, what, after in arcs:
+                if what == "d":
+                    table |= {(state, f): (after, f, False) for f in "0123456789"}
+                    table |= {(state, x): (after, f, True) for f, xs in FIGURES.items() for x in xs if x in confused}
+                else:
+                    table |= {(state, c): (after, c, False) for c in what}
+            self.tables.append((table, frozenset(accept), beside))
+
+    def printed(self, read: str) -> str | None:
+        """What was printed where an amount was misread, else None."""
+        for table, accept, beside in self.tables:
+            state, out, wrong, last_wrong = 0, [], 0, False
+            for c in read:
+                if (got := table.get((state, c))) is None:
+                    break
+                state, f, last_wrong = got
+                wrong += last_wrong
+                out.append(f)
+            else:
+                figures = sum(c.isdigit() for c in read)
+                near = beside is None or any(c.isdigit() for i, c in enumerate(read) if beside in read[max(0, i - 1) : i + 2])
+                # letters alone are an amount only where a letter closes them
+                if state in accept and wrong and near and (figures or out[-1] == "A"):
+                    return "".join(out)
+        return None
+
+
 class Trie:
     """Words by their characters; every node knows the highest count below it."""
 
@@ -134,10 +186,11 @@ class Automaton:
     """The weighted Levenshtein automaton of what a scan read; steps over what may have been printed.
 
     A state is (characters read, rest of a printed pair still to come, whether only letters were confused) with its cost.
+    With ``general`` one edit of any kind is allowed at that cost beside the confusions.
     """
 
-    def __init__(self, confusions=CONFUSIONS, cost: float = COST, most: float = MAX_COST):
-        self.cost, self.most = cost, most + 1e-9
+    def __init__(self, confusions=CONFUSIONS, cost: float = COST, most: float = MAX_COST, general: float | None = None):
+        self.cost, self.most, self.general = cost, most + 1e-9, general
         self.by_first: dict[str, list[tuple[str, str, bool]]] = {}
         for printed, read in confusions:
             self.by_first.setdefault(printed[0], []).append((printed[1:], read, (printed, read) in SOFT))
@@ -155,6 +208,13 @@ class Automaton:
                 for more, seen, only_letters in self.by_first.get(c, ()):
                     if read.startswith(seen, i) and out.get(k := (i + len(seen), more, soft and only_letters), 9.0) > cost + self.cost:
                         out[k] = cost + self.cost
+            if self.general is not None and not rest and cost + self.general <= self.most:
+                dear = cost + self.general
+                for k in ((i + 1, "", False), (i, "", False)):  # another character was read, or none
+                    if k[0] <= len(read) and out.get(k, 9.0) > dear:
+                        out[k] = dear
+                if read[i + 1 : i + 2] == c and out.get(k := (i + 2, "", False), 9.0) > dear:  # one was added before it
+                    out[k] = dear
         return out
 
     def intersect(self, read: str, trie: Trie, least: float) -> list[tuple[float, int, str, bool]]:
@@ -165,6 +225,8 @@ class Automaton:
             node, states = stack.pop()
             if node.word is not None and node.n >= least and node.word != read:
                 done = [(cost, not soft) for (i, rest, soft), cost in states.items() if i == end and not rest]
+                if self.general is not None:  # a character added at the end
+                    done += [(cost + self.general, True) for (i, rest, _), cost in states.items() if i == end - 1 and not rest and cost + self.general <= self.most]
                 if done:
                     cost, hard = min(done)
                     found.append((cost, -node.n, node.word, not hard))
@@ -195,7 +257,7 @@ def misread_words(counts: DataFrame, ratio: float = 20.0, hard_ratio: float = 8.
         sent = spark.sparkContext.broadcast((rows["word"].to_pylist(), rows["n"].to_pylist()))
 
         def run(batches, sent=sent):
-            trie, automaton = Trie(), Automaton()
+            trie, automaton, loose = Trie(), Automaton(), Automaton(most=GENERAL, general=GENERAL)
             for w, n in zip(*sent.value):
                 trie.add(w, n)
             for words, ns, titles in batches:
@@ -209,8 +271,9 @@ def misread_words(counts: DataFrame, ratio: float = 20.0, hard_ratio: float = 8.
                         for column, x in zip(out, (w, c, -k, v)):
                             column.append(x)
                     if not got and figure_inside(w):
-                        for column, x in zip(out, (w, 9.0, 0, None)):
-                            column.append(x)
+                        for c, k, v, _ in loose.intersect(w, trie, hard_ratio) or [(9.0, 0, None, False)]:
+                            for column, x in zip(out, (w, c + 1, -k, v)):
+                                column.append(x)
                 yield out
 
         one = map_batches(every, run, "word string, cost double, n long, printed string")
@@ -238,12 +301,12 @@ EDGE = 4
 
 
 def edge_lines(pages: DataFrame) -> DataFrame:
-    """``page_id, document, field, line_no, skeleton, shape``: lines where running headers stand."""
+    """``page_id, source, document, field, line_no, skeleton, shape``: lines where running headers stand."""
 
     def run(batches):
-        for ids, documents, texts, headers, footers in batches:
-            out: list[list] = [[] for _ in range(6)]
-            for page, document, text, header, footer in zip(ids, documents, texts, headers, footers):
+        for ids, sources, documents, texts, headers, footers in batches:
+            out: list[list] = [[] for _ in range(7)]
+            for page, source, document, text, header, footer in zip(ids, sources, documents, texts, headers, footers):
                 document = -(page or 0) - 1 if document is None else document
                 for field, body in (("text", text), ("header", header), ("footer", footer)):
                     if not body:
@@ -252,12 +315,12 @@ def edge_lines(pages: DataFrame) -> DataFrame:
                     if field == "text" and len(lines) > 2 * EDGE:
                         lines = lines[:EDGE] + lines[-EDGE:]
                     for i, x in lines:
-                        if len(x) <= 130 and (k := skeleton(x)) is not None:
-                            for column, v in zip(out, (page, document, field, i, k, headed(x))):
+                        if (k := skeleton(x)) is not None:
+                            for column, v in zip(out, (page, source, document, field, i, k, headed(x))):
                                 column.append(v)
             yield out
 
-    return map_batches(pages.select("page_id", "document_id", *FIELDS), run, "page_id long, document long, field string, line_no int, skeleton long, shape boolean")
+    return map_batches(pages.select("page_id", F.coalesce("source", F.lit("")).alias("source"), "document_id", *FIELDS), run, "page_id long, source string, document long, field string, line_no int, skeleton long, shape boolean")
 
 
 _SHAPE = re.compile(r".+ [|–—] .+ [|–—] .+|.+ x .+ [—–|] .+|.+ e .+ \([^\W\d_]+\)\W*\d*\W*$")
@@ -272,10 +335,10 @@ def headed(line: str) -> bool:
 def running_headers(pages: DataFrame) -> DataFrame:
     """``page_id, line_no``: lines of ``text`` that are the document's own running header or footer."""
     edges = cut(edge_lines(pages))
-    by_doc = cut(edges.groupBy("document", "skeleton").agg(F.max(F.col("field") != "text").alias("in_field")))
-    common = by_doc.groupBy("skeleton").agg(F.count("*").alias("in_docs")).where(F.col("in_docs") >= OTHERS)
-    own = by_doc.join(common, "skeleton", "left_anti").select("document", "skeleton", "in_field")
-    return edges.where("field = 'text'").join(own, ["document", "skeleton"]).where("shape or in_field").select("page_id", "line_no").distinct()
+    by_doc = cut(edges.groupBy("source", "document", "skeleton").agg(F.max(F.col("field") != "text").alias("in_field")))
+    common = by_doc.groupBy("source", "skeleton").agg(F.count("*").alias("in_docs")).where(F.col("in_docs") >= OTHERS)
+    own = by_doc.join(common, ["source", "skeleton"], "left_anti")
+    return edges.where("field = 'text'").join(own, ["source", "document", "skeleton"]).where("shape or in_field").select("page_id", "line_no").distinct()
 
 
 def page_number_lines(text: str, number: int | None) -> list[int]:
@@ -285,7 +348,7 @@ def page_number_lines(text: str, number: int | None) -> list[int]:
     out = []
     for i in dict.fromkeys(full[:2] + full[-2:]):
         x = lines[i]
-        if len(x.strip()) <= 24 and (m := _PAGE.match(x)):
+        if m := _PAGE.match(x):
             seen = m[1].translate(_FIGURES)
             edge = i in (full[0], full[-1])
             if any(c.isdigit() for c in m[1]) and (seen.isdigit() and number is not None and int(seen) == number or number is None and edge):
@@ -299,10 +362,11 @@ def line_noise(pages: DataFrame, misread: DataFrame, counts: DataFrame) -> DataF
     bad = bounded(misread.select("word"))
     known = bounded(counts.where("n >= 2").select("word", "n"))
     sent = spark.sparkContext.broadcast((None if bad is None else set(bad["word"].to_pylist()), None if known is None else dict(zip(known["word"].to_pylist(), known["n"].to_pylist()))))
-    schema = "page_id long, field_name string, line_no int, kind string, word string, other string"
+    schema = "page_id long, field_name string, line_no int, kind string, word string, other string, tie boolean"
 
     def run(batches):
         bad, known = sent.value
+        amounts = Amounts()
         cache: dict[str, bool | None] = {}
 
         def look(t: str):
@@ -316,7 +380,7 @@ def line_noise(pages: DataFrame, misread: DataFrame, counts: DataFrame) -> DataF
             if not w or w.isdigit():
                 return None
             if w[0].isdigit() or w[-1].isdigit() or w[:1] in "lOSI":
-                if _AMOUNT.match(w):
+                if amounts.printed(w):
                     return True
             if not is_word(w):
                 return None
@@ -324,10 +388,10 @@ def line_noise(pages: DataFrame, misread: DataFrame, counts: DataFrame) -> DataF
             return (True if low in bad else None) if bad is not None else low
 
         for ids, numbers, *fields in batches:
-            out: list[list] = [[] for _ in range(6)]
+            out: list[list] = [[] for _ in range(7)]
 
-            def emit(*row):
-                for column, v in zip(out, row):
+            def emit(page, field, i, kind, word, other=None, tie=None):
+                for column, v in zip(out, (page, field, i, kind, word, other, tie)):
                     column.append(v)
 
             for page, number, *texts in zip(ids, numbers, *fields):
@@ -345,21 +409,22 @@ def line_noise(pages: DataFrame, misread: DataFrame, counts: DataFrame) -> DataF
                                     cache.clear()
                                 got = cache[t] = look(t)
                             if got is not None:
-                                emit(page, field, i, "misread" if got is True else "word?", t.strip(_OUT) if got is True else got, None)
+                                emit(page, field, i, "misread" if got is True else "word?", t.strip(_OUT) if got is True else got)
                         after = bool(ts) and ts[-1][-1] in HYPHENS and i < len(lines) and bool(j := joined(line, lines[i]))
                         if after:
                             a, sign, b = (x.lower() for x in j)
                             if field == "text":
                                 if known is None:
-                                    emit(page, field, i, "hyphen?", a + b, f"{a}-{b}")
-                                elif divided(known.get(a + b, 0), known.get(f"{a}-{b}", 0), b, known.get(a, 0), sign):
-                                    emit(page, field, i, "hyphen", a + b, None)
+                                    emit(page, field, i, "hyphen?", a + b, f"{a}-{b}", divided(0, 0, b, sign))
+                                elif divided(known.get(a + b, 0), known.get(f"{a}-{b}", 0), b, sign):
+                                    emit(page, field, i, "hyphen", a + b)
                             word = a + b
-                            if (bad is None or word in bad) and f"{a}-{b}" not in (known or ()):
-                                emit(page, field, i + misread_at(word, len(a)), "word?" if bad is None else "misread", word, None)
+                            if (bad is None or word in bad) and (known is None or f"{a}-{b}" not in known):
+                                # not misread if the compound is known
+                                emit(page, field, i + misread_at(word, len(a)), "misread" if bad is not None and known is not None else "word?", word, f"{a}-{b}")
                     if field == "text":
                         for i in page_number_lines(text, number):
-                            emit(page, field, i, "page_number", None, None)
+                            emit(page, field, i, "page_number", None)
             yield out
 
     rows = map_batches(pages.select("page_id", "page_number", *FIELDS), run, schema)
@@ -367,16 +432,16 @@ def line_noise(pages: DataFrame, misread: DataFrame, counts: DataFrame) -> DataF
         return rows.select("page_id", "field_name", "line_no", "kind", "word").distinct()
     rows = cut(rows)
     sure = rows.where("kind not in ('word?', 'hyphen?')").select("page_id", "field_name", "line_no", "kind", "word")
-    looked = rows.where("kind = 'word?'").join(misread.select("word"), "word", "left_semi").select("page_id", "field_name", "line_no", F.lit("misread").alias("kind"), "word")
-    one = counts.select("word", F.col("n").alias("n_word"))
-    other = counts.select(F.col("word").alias("other"), F.col("n").alias("n_other"))
+    held = counts.where("n >= 2").select(F.col("word").alias("other"))
+    looked = rows.where("kind = 'word?'").join(held, "other", "left_anti").join(misread.select("word"), "word", "left_semi").select("page_id", "field_name", "line_no", F.lit("misread").alias("kind"), "word")
+    one = counts.where("n >= 2").select("word", F.col("n").alias("n_word"))
+    other = counts.where("n >= 2").select(F.col("word").alias("other"), F.col("n").alias("n_other"))
     ends = rows.where("kind = 'hyphen?'").join(one, "word", "left").join(other, "other", "left").fillna(0, ["n_word", "n_other"])
-    clitic = F.split("other", "-").getItem(1).isin(*CLITICS)
-    ends = ends.where((F.col("n_word") > F.col("n_other")) | (F.col("n_word") == F.col("n_other")) & ~clitic)
+    ends = ends.where((F.col("n_word") > F.col("n_other")) | (F.col("n_word") == F.col("n_other")) & F.col("tie"))
     return sure.unionByName(looked).unionByName(ends.select("page_id", "field_name", "line_no", F.lit("hyphen").alias("kind"), "word")).distinct()
 
 
-def divided(n_joined: int, n_compound: int, tail: str, n_head: int, sign: str) -> bool:
+def divided(n_joined: int, n_compound: int, tail: str, sign: str) -> bool:
     """Whether a line break divided one word, rather than falling at a compound's own hyphen."""
     if n_joined != n_compound:
         return n_joined > n_compound
@@ -495,7 +560,7 @@ def as_written(word: str, like: str) -> str:
     return word[:1].upper() + word[1:] if like[:1].isupper() else word
 
 
-_TO_FIGURE = str.maketrans("lIOSB", "11058")
+_amounts = Amounts()
 
 
 def fix_token(token: str, before: str, after: str, fixes: dict[str, list[str]], pairs: dict[tuple[str, str], int]) -> str:
@@ -503,13 +568,14 @@ def fix_token(token: str, before: str, after: str, fixes: dict[str, list[str]],
     core = token.strip(_OUT)
     if not core:
         return token
-    if _AMOUNT.match(core):
-        return token.replace(core, core[:-1].translate(_TO_FIGURE) + core[-1] if core[-1] == "A" else core.translate(_TO_FIGURE))
+    at = len(token) - len(token.lstrip(_OUT))
+    if any(c.isdigit() for c in core) and (amount := _amounts.printed(core)):
+        return token[:at] + amount + token[at + len(core) :]
     found = fixes.get(core.lower())
     if not found:
         return token
     best = min(range(len(found)), key=lambda i: (-pairs.get((before, found[i]), 0) - pairs.get((found[i], after), 0), i))
-    return token.replace(core, as_written(found[best], core))
+    return token[:at] + as_written(found[best], core) + token[at + len(core) :]
 
 
 def reflow(lines: list[str], known: dict[str, int]) -> str:
@@ -526,7 +592,7 @@ def reflow(lines: list[str], known: dict[str, int]) -> str:
             continue
         if current and current[-1] in HYPHENS and (j := joined(current, x)):
             a, sign, b = (y.lower() for y in j)
-            current = current[:-1] + ("" if divided(known.get(a + b, 0), known.get(f"{a}-{b}", 0), b, known.get(a, 0), sign) else "-") + x
+            current = current[:-1] + ("" if divided(known.get(a + b, 0), known.get(f"{a}-{b}", 0), b, sign) else "-") + x
         else:
             current = f"{current} {x}" if current else x
         nxt = next((y for y in lines[i + 1 : i + 2]), "")
@@ -554,7 +620,10 @@ def repaired(pages: DataFrame, ratio: float = 20.0, block: int = 200_000) -> Dat
     known_table = bounded(known_words)
     known = None if known_table is None else dict(zip(known_table["word"].to_pylist(), known_table["n"].to_pylist()))
     blocks = max(1, -(-misread.count() // block))
-    rows = pages.select("page_id", "page_number", "text").join(heads, "page_id", "left")
+    heads = cut(heads)
+    # lists of lines are small beside the texts: texts stay where they are read while the lists are few enough to send
+    few = heads.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    rows = pages.select("page_id", "page_number", "text").join(F.broadcast(heads) if few else heads, "page_id", "left")
     for b in range(blocks):
         part = (misread if blocks == 1 else misread.where(F.pmod(F.xxhash64("word"), F.lit(blocks)) == b)).toArrow()
         fixes = dict(zip(part["word"].to_pylist(), part["candidates"].to_pylist()))

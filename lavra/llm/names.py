@@ -20,7 +20,6 @@ import re
 import unicodedata
 from collections import Counter
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -407,13 +406,20 @@ def entities(rows: DataFrame) -> DataFrame:
     classed = map_batches(placed.groupBy("home", "suffix").agg(F.collect_set("initials").alias("sets")), classes, "home string, suffix string, initials string, class string")
     placed = placed.join(classed, ["home", "suffix", "initials"])
 
-    def solve(group: pd.DataFrame) -> pd.DataFrame:
-        rows = list(zip(group["given"], group["between"], (None if pd.isna(x) else x for x in group["own"]), group["rows"]))
-        people = resolve(rows)
-        return pd.DataFrame({"last": group["last"], "given": group["given"], "between": group["between"], "suffix": group["suffix"], "number": group["number"], "entity": [f"{h}|{s}|{c}|{p}" for h, s, c, p in zip(group["home"], group["suffix"], group["class"], people)]})
+    def solve(batches):
+        for homes, suffixes, classes, groups in batches:
+            out: list[list] = [[] for _ in range(6)]
+            for home, suffix, letter, forms in zip(homes, suffixes, classes, groups):
+                people = resolve([(x["given"], x["between"], x["own"], x["rows"]) for x in forms])
+                for x, p in zip(forms, people):
+                    for column, v in zip(out, (x["last"], x["given"], x["between"], suffix, x["number"], f"{home}|{suffix}|{letter}|{p}")):
+                        column.append(v)
+            yield out
 
-    spread = max(12, placed.sparkSession.sparkContext.defaultParallelism)
-    solved = placed.repartition(spread, "home", "suffix", "class").groupBy("home", "suffix", "class").applyInPandas(solve, "last string, given string, between string, suffix string, number string, entity string")
+    # a row holds the distinct forms of one part of a last name
+    grouped = placed.groupBy("home", "suffix", "class").agg(F.collect_list(F.struct("last", "given", "between", "number", "own", "rows")).alias("forms"))
+    spread = grouped.repartition(max(12, placed.sparkSession.sparkContext.defaultParallelism))
+    solved = map_batches(spread, solve, "last string, given string, between string, suffix string, number string, entity string")
     solved = cut(solved)
     on = [parsed[c].eqNullSafe(solved[c]) for c in ("last", "given", "between", "suffix", "number")]
     return parsed.join(solved, on).select("reg_id", "entity")

@@ -1,12 +1,17 @@
 """Personal information inside free text.
 
-Regular expressions and a lexicon of names propose spans, checksum validators confirm number spans, and the words before a
-span adjust its score; spans that reach ``THRESHOLD`` are kept and can be replaced with typed placeholders. The lexicon is
-learned from the whole corpus: the words that follow phrases which announce a person ("titular", "Segundo", ...).
+Regular expressions and a lexicon of names propose spans of every kind, checksum validators confirm them (CPF, PIS and
+voter's numbers) or show that a number is another thing (payment cards by Luhn, account and lawsuit numbers by mod 97,
+companies by their check digits), and the words before a span adjust its score (``WEIGHTS``); of the proposals at a place
+the one with the best score is kept if it reaches ``THRESHOLD``, and can be replaced with a typed placeholder. The lexicon
+is learned from the whole corpus: the words that follow phrases which announce a person ("titular", "Segundo", ...). While
+it has at most ``BROADCAST_ROWS`` words it is sent to the workers, beyond that joined to the words of each text; no word is
+forgotten either way.
 
 Defined results: null or empty texts have no spans; spans never overlap (addresses before numbers before names); HTML tags
 and entities are read through, and a span is given exactly as it stands in the source; a span never crosses a paragraph;
-the same value twice in a row is one row; repeated rows are rows of their own; other columns are ignored.
+the same value twice in a row is one row; repeated rows are rows of their own; other columns are ignored. A name has at most
+``NAME_WORDS`` words, the local part of an address 121 characters (64 are allowed by its standard).
 """
 
 from __future__ import annotations
@@ -22,6 +27,12 @@ from pyspark.sql import functions as F
 from lavra.runtime import bounded, cut, map_batches
 
 THRESHOLD = 0.6
+NAME_WORDS = 12
+#: What the form of a span says, and what labels, signs and checks add to it or take away.
+WEIGHTS = {
+    "email": 0.8, "endereco": 0.6, "house": 0.2, "cpf": 0.5, "document": 0.3, "phone": 0.3, "mobile": 0.4,
+    "label": 0.35, "sign": 0.35, "check": 0.2, "other": -0.6, "another": -0.8,
+}
 PARTICLES = {"da", "de", "do", "das", "dos"}
 #: Words that announce a person, alone or as the second of two words.
 ANNOUNCE = {"titular", "segundo", "interessado", "interessada", "advogado", "advogada", "intime-se", "autor", "autora", "avo", "perito", "perita", "compareceram", "dr", "dra", "testemunha", "reu", "re", "periciado", "periciada", "requerente", "requerido"}
@@ -45,6 +56,7 @@ _DOT = r"(?:\.|\s*\[dot\]\s*|\s*\(dot\)\s*|\s*\[ponto\]\s*|\s*\(ponto\)\s*)"
 _MAIL = re.compile(rf"(?<![\w.+!-])[\w.+!-]{{0,120}}\w{_AT}\w[\w-]*(?:{_DOT}\w[\w-]*)+", re.I)
 _MAIL_HINT = re.compile(r"@|\[at\]|\(at\)|arroba", re.I)
 _ADDRESS = re.compile(r"\S+\s+(?:(?:d[aeo]s?|DA|DE|DO|DAS|DOS|e)\s+)*[^\s,;:\da-z][^\s,;:\d]*(?:\s+(?:(?:d[aeo]s?|DA|DE|DO|DAS|DOS|e)\s+)*[^\s,;:\da-z][^\s,;:\d]*){0,5}?(?:,\s*|\s+)(?:(?:[nN][^\s\d]{0,5}|[kK][mM])\s*)?(?:\d+(?:\.\d{3})*(?:\s?-\s?[A-Z](?!\w))?|[sS]/[nN](?:[º°.](?!\S))?)")
+_RUN = re.compile(r"(?:[A-Z]{2}\d{2})?[\d. /-]*\d")
 _ASCII = re.compile(r"[^a-zA-Z]")
 _TOKEN = re.compile(r"\S+")
 _EDGE_L, _EDGE_R = "(\"'«[“‘", ")\"'»].,;:!?”’"
@@ -90,28 +102,58 @@ def pis_ok(digits: str) -> bool:
     return int(digits[10]) == (0 if rest < 2 else 11 - rest)
 
 
+def voter_ok(digits: str) -> bool:
+    """The mod-11 checks of a 12-digit voter's number: 8 digits, 2 of the state, 2 of the checks."""
+    if len(digits) != 12 or not 1 <= int(digits[8:10]) <= 28:
+        return False
+    first = sum(int(d) * w for d, w in zip(digits[:8], range(2, 10))) % 11 % 10
+    second = (int(digits[8]) * 7 + int(digits[9]) * 8 + first * 9) % 11 % 10
+    return digits[10:] == f"{first}{second}"
+
+
+def cnpj_ok(digits: str) -> bool:
+    """The mod-11 checks of a 14-digit company number."""
+    if len(digits) != 14 or len(set(digits)) == 1:
+        return False
+    for n in (12, 13):
+        weights = [*range(n - 7, 1, -1), *range(9, 1, -1)]
+        rest = sum(int(d) * w for d, w in zip(digits, weights)) % 11
+        if int(digits[n]) != (0 if rest < 2 else 11 - rest):
+            return False
+    return True
+
+
 def luhn_ok(digits: str) -> bool:
     """The mod-10 check of payment cards."""
     total = 0
     for i, d in enumerate(reversed(digits)):
         n = int(d) * (1 + i % 2)
         total += n - 9 * (n > 9)
-    return len(digits) >= 12 and total % 10 == 0
+    return 13 <= len(digits) <= 19 and len(set(digits)) > 1 and total % 10 == 0
 
 
-def mod97_ok(iban: str) -> bool:
-    """The mod-97 check of bank accounts in their international form."""
-    s = re.sub(r"\s", "", iban).upper()
+def mod97_ok(number: str) -> bool:
+    """The mod-97 check of bank accounts in their international form, and of the 20 digits of a lawsuit's number."""
+    s = re.sub(r"[\s.-]", "", number).upper()
+    if re.fullmatch(r"\d{20}", s):
+        return int(s[:7] + s[9:] + s[7:9]) % 97 == 1
     if not re.fullmatch(r"[A-Z]{2}\d{2}[A-Z0-9]{11,30}", s):
         return False
     return int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97 == 1
 
 
+def another_number(run: str) -> bool:
+    """Whether checks show that figures are a card's, an account's, a lawsuit's or a company's."""
+    digits = re.sub(r"\D", "", run)
+    return luhn_ok(digits) or len(digits) == 20 and mod97_ok(digits) or cnpj_ok(digits) or run[:2].isalpha() and mod97_ok(run)
+
+
 def readable(source: str) -> tuple[str, list[int], list[int]]:
     """HTML as plain text, with the start and end of each of its characters in the source."""
     out, starts, ends = [], [], []
     begin = 0
-    if (m := re.match(r"[^<>]*>", source)) and m.end() < 40:
+    # the rest of a tag that was cut: short, or with attributes
+    if (m := re.match(r"[^<>]*>", source)) and (m.end() < 40 or re.search(r"""=\\*["']""", m[0])):
         begin = m.end()
     pos = begin
     for m in re.finditer(r"<[^>]*(?:>|$)|&#?\w{1,8};", source[begin:]):
@@ -178,7 +220,7 @@ class Finder:
         spans: list[tuple[str, int, int]] = []
         if _MAIL_HINT.search(text):
             for m in _MAIL.finditer(text):
-                spans.append(("email", m.start(), m.end()))
+                self.propose(spans, [("email", m.start(), m.end(), WEIGHTS["email"])])
         toks = list(_TOKEN.finditer(text))
         cache = self.cache
         hits = []
@@ -195,7 +237,7 @@ class Finder:
             return []
         for i, c in hits:
             if c & _STREET and (m := _ADDRESS.match(text, toks[i].start() + (toks[i][0][0] in _EDGE_L))) and not _PARAGRAPH.search(m[0]):
-                self.put(spans, "endereco", m.start(), m.end())
+                self.propose(spans, [("endereco", m.start(), m.end(), WEIGHTS["endereco"] + WEIGHTS["house"] * m[0][-1].isdigit())])
         for i, c in hits:
             if c & _NUMBER:
                 self.number(text, toks, i, spans)
@@ -204,6 +246,12 @@ class Finder:
                 self.name(text, toks, i, c, spans)
         return spans
 
+    def propose(self, spans, proposals: list[tuple[str, int, int, float]]) -> None:
+        """Keep the best proposal of a place, the first of equals, if it reaches the threshold."""
+        best = max(proposals, key=lambda p: p[3], default=None)
+        if best and best[3] >= THRESHOLD - 1e-9:
+            self.put(spans, *best[:3])
+
     @staticmethod
     def put(spans, kind, start, end) -> None:
         if all(end <= a or start >= b for _, a, b in spans):
@@ -221,18 +269,23 @@ class Finder:
         labelled = last in DOCUMENT_LABELS or pair in DOCUMENT_PHRASES
         phone_context = last in PHONE_LABELS or pair == ("ligar", "para") or pair == ("assistente", "tecnico")
         other = last in OTHER_NUMBERS or len(before) > 1 and before[-2] in OTHER_NUMBERS and not labelled
+        # what speaks against a personal number: labels of other numbers, check digits of other numbers
+        against = WEIGHTS["other"] * other + (WEIGHTS["another"] if (run := _RUN.match(text, start)) and another_number(run[0]) else 0.0)
+        label = WEIGHTS["label"]
+        proposals = []
         if m := _CPF.match(text, start):
             digits = re.sub(r"\D", "", m[0])
-            score = 0.5 + 0.3 * (labelled or "." in m[0] or pair[-1:] == ("-",)) + 0.2 * (cpf_ok(digits) or pis_ok(digits)) - 0.6 * other
-            if score >= THRESHOLD:
-                return self.put(spans, "documento", m.start(), m.end())
+            proposals.append(("documento", *m.span(), WEIGHTS["cpf"] + label * (labelled or "." in m[0] or pair[-1:] == ("-",)) + WEIGHTS["check"] * (cpf_ok(digits) or pis_ok(digits)) + against))
         if labelled and (m := _DOC.match(text, start)):
-            return self.put(spans, "documento", m.start(), m.end())
-        if text[start] == "(" or text[start] == "+" or phone_context:
+            digits = re.sub(r"\D", "", m[0])
+            against_document = 0.0 if m[0] != (run[0] if run else "") else against - WEIGHTS["other"] * other
+            proposals.append(("documento", *m.span(), WEIGHTS["document"] + label + WEIGHTS["check"] * (cpf_ok(digits) or pis_ok(digits) or voter_ok(digits)) + against_document))
+        elif text[start] in "(+" or phone_context:
             if m := _PHONE.match(text, start):
-                return self.put(spans, "telefone", m.start(), m.end())
-        elif not other and not labelled and (m := _MOBILE.match(text, start)) and sum(x.isdigit() for x in m[0]) in (8, 9, 10, 11, 12, 13):
-            return self.put(spans, "telefone", m.start(), m.end())
+                proposals.append(("telefone", *m.span(), WEIGHTS["phone"] + WEIGHTS["sign"] * (text[start] in "(+") + label * phone_context + min(0.0, against - WEIGHTS["other"] * other)))
+        elif not labelled and (m := _MOBILE.match(text, start)) and sum(x.isdigit() for x in m[0]) in (8, 9, 10, 11, 12, 13):
+            proposals.append(("telefone", *m.span(), WEIGHTS["mobile"] + WEIGHTS["sign"] + against))
+        self.propose(spans, proposals)
 
     def name(self, text, toks, i, c, spans) -> None:
         first = i
@@ -260,7 +313,7 @@ class Finder:
             start += 1
         end, j, n_words, family_last, known = start, first, 0, False, 0
         how = ""
-        while j < len(toks) and n_words < 8:
+        while j < len(toks) and n_words < NAME_WORDS:
             t = toks[j][0]
             if j > first and _PARAGRAPH.search(text, toks[j - 1].end(), toks[j].start()):
                 break
@@ -310,8 +363,8 @@ class Finder:
             start = toks[first - 1].start() + (toks[first - 1][0][0] in "(\"")
             family_last, n_words = True, n_words + 1
         score = 0.25 * bool(c & _GIVEN) + 0.2 * min(known, 3) + 0.3 * announced + 0.2 * family_last
-        if n_words >= 2 and family_last and (known or announced and style(text[start:end]) != "l") and score + 0.2 * (announced and not text[start:end].isascii()) >= THRESHOLD:
-            self.put(spans, "nome", start, end)
+        if n_words >= 2 and family_last and (known or announced and style(text[start:end]) != "l"):
+            self.propose(spans, [("nome", start, end, score + 0.2 * (announced and not text[start:end].isascii()))])
 
     def token_kind(self, token: str) -> int:
         if (c := self.cache.get(token)) is None:
@@ -340,7 +393,7 @@ def learn_names(texts: DataFrame, least: int = 3) -> DataFrame:
                     if t not in _TRIGGERS or t in ("com", "por", "de") and (low[i - 1], t) not in ANNOUNCE_TWO:
                         continue
                     seq = []
-                    for w in toks[i + 1 : i + 8]:
+                    for w in toks[i + 1 : i + NAME_WORDS]:
                         core = w.strip(_EDGE_L).rstrip(_EDGE_R)
                         if fold(core) in PARTICLES:
                             continue
@@ -363,38 +416,62 @@ def learn_names(texts: DataFrame, least: int = 3) -> DataFrame:
 _TRIGGERS = {"titular", "segundo", "interessado:", "interessada:", "advogado:", "advogada:", "intime-se", "autor,", "autora,", "avó,", "perito", "perita", "compareceram", "dr.", "dra.", "com", "por", "de"}
 
 
-def lexicon(texts: DataFrame, least: int = 3) -> Lexicon:
-    """The names of the corpus. If there are too many words for the workers, those seen most often."""
-    learned = cut(learn_names(texts, least))
-    while (rows := bounded(learned)) is None:
-        least *= 2
-        learned = learned.where(F.col("first") + F.col("later") >= least)
-    given, family = set(), set()
-    for key, first, later in zip(rows["key"].to_pylist(), rows["first"].to_pylist(), rows["later"].to_pylist()):
-        if first >= least and first >= 0.25 * (first + later):
-            given.add(key)
-        if later:
-            family.add(key)
-    return Lexicon(given, family)
+@dataclass
+class Names:
+    """The learned names: held, or only as the table ``key, given, family`` where there are too many."""
 
+    held: Lexicon | None
+    table: DataFrame
 
-def found(texts: DataFrame, names: Lexicon) -> DataFrame:
-    """``src, row_id, kind, trecho`` of a table ``src, row_id, text``, distinct."""
-    sent = texts.sparkSession.sparkContext.broadcast(names)
 
-    def run(batches):
-        finder = Finder(sent.value)
-        for srcs, ids, column in batches:
-            out: list[list] = [[], [], [], []]
-            for src, row, text in zip(srcs, ids, column):
-                if not text:
-                    continue
-                for kind, value in sorted({(k, text[a:b]) for k, a, b in spans_of(finder, text)}):
-                    for c, v in zip(out, (src, row, kind, value)):
-                        c.append(v)
-            yield out
+def as_lexicon(keys, given, family) -> Lexicon:
+    return Lexicon({k for k, g in zip(keys, given) if g}, {k for k, f in zip(keys, family) if f})
+
+
+def lexicon(texts: DataFrame, least: int = 3) -> Names:
+    """The names of the corpus."""
+    first, later = F.col("first"), F.col("later")
+    learned = cut(learn_names(texts, least).select("key", ((first >= least) & (first >= 0.25 * (first + later))).alias("given"), (later > 0).alias("family")))
+    rows = bounded(learned)
+    return Names(None if rows is None else as_lexicon(*(rows[c].to_pylist() for c in ("key", "given", "family"))), learned)
+
+
+def with_finder(texts: DataFrame, names: Names, fn, schema: str) -> DataFrame:
+    """``fn(finder, src, row_id, text)`` gives the rows of ``schema`` for each row of ``src, row_id, text``."""
+    columns = schema.count(",") + 1
+    if names.held is not None:
+        sent = texts.sparkSession.sparkContext.broadcast(names.held)
+
+        def run(batches):
+            finder = Finder(sent.value)
+            for batch in batches:
+                out = [r for x in zip(*batch) for r in fn(finder, *x)]
+                yield [[r[i] for r in out] for i in range(columns)]
+
+        return map_batches(texts.select("src", "row_id", "text"), run, schema)
+
+    def ask(batches):
+        for rows, column in batches:
+            out = [(row, k) for row, text in zip(rows, column) if text for k in {name_key(c) for t in (readable(text)[0] if "<" in text or "&" in text else text).split() for c in (t.strip(_EDGE_L).rstrip(_EDGE_R), t.rstrip(_EDGE_R), t.lstrip("(\"").rstrip(",")) if len(c) > 1}]
+            yield [x[0] for x in out], [x[1] for x in out]
 
-    return map_batches(texts.select("src", "row_id", "text"), run, "src string, row_id long, kind string, trecho string")
+    def run_told(batches):
+        for *batch, told in batches:
+            out = [r for *x, ns in zip(*batch, told) for r in fn(Finder(as_lexicon(*zip(*((n["key"], n["given"], n["family"]) for n in ns))) if ns else Lexicon(set(), set())), *x)]
+            yield [[r[i] for r in out] for i in range(columns)]
+
+    numbered = cut(texts.select(F.monotonically_increasing_id().alias("row"), "src", "row_id", "text"))
+    told = map_batches(numbered.select("row", "text"), ask, "row long, key string").join(names.table, "key").groupBy("row").agg(F.collect_list(F.struct("key", "given", "family")).alias("told"))
+    return map_batches(numbered.join(told, "row", "left").select("src", "row_id", "text", "told"), run_told, schema)
+
+
+def found(texts: DataFrame, names: Names) -> DataFrame:
+    """``src, row_id, kind, trecho`` of a table ``src, row_id, text``, distinct within a row."""
+
+    def one(finder, src, row, text):
+        return [(src, row, *x) for x in sorted({(k, text[a:b]) for k, a, b in spans_of(finder, text)})] if text else ()
+
+    return with_finder(texts, names, one, "src string, row_id long, kind string, trecho string")
 
 
 def spans_of(finder: Finder, text: str) -> list[tuple[str, int, int]]:
@@ -405,20 +482,14 @@ def spans_of(finder: Finder, text: str) -> list[tuple[str, int, int]]:
     return [(k, starts[a], ends[b - 1]) for k, a, b in finder.find(plain)]
 
 
-def masked(texts: DataFrame, names: Lexicon) -> DataFrame:
+def masked(texts: DataFrame, names: Names) -> DataFrame:
     """``src, row_id, text`` with each value replaced by its kind in square brackets."""
-    sent = texts.sparkSession.sparkContext.broadcast(names)
-
-    def one(finder, text):
-        if not text:
-            return text
-        for k, a, b in sorted(spans_of(finder, text), key=lambda s: -s[1]):
-            text = f"{text[:a]}[{k.upper()}]{text[b:]}"
-        return text
 
-    def run(batches):
-        finder = Finder(sent.value)
-        for srcs, ids, column in batches:
-            yield srcs, ids, [one(finder, t) for t in column]
+    def one(finder, src, row, text):
+        parts, at = [], 0
+        for k, a, b in sorted(spans_of(finder, text), key=lambda x: x[1]) if text else ():
+            parts += (text[at:a], f"[{k.upper()}]")
+            at = b
+        return [(src, row, "".join(parts) + text[at:] if parts else text)]
 
-    return map_batches(texts.select("src", "row_id", "text"), run, "src string, row_id long, text string")
+    return with_finder(texts, names, one, "src string, row_id long, text string")

@@ -6,6 +6,9 @@ weighted Damerau-Levenshtein distance, then by frequency. A word that is itself
 word, is not a misspelling. Abbreviations are beginnings of reference words. The entry is then the one whose words, weighted
 by how few entries have them, agree best; values that agree too little are reported with ``-``.
 
+What a word or entry is also called comes as a parameter (:class:`Knowledge`, empty by default); words of other trades need
+not be listed if they are frequent in the values. Frequencies too many to hold are joined to each value's words.
+
 Defined results: null and blank values give no row; ties between different entries give ``-``; an empty reference list maps
 everything to ``-``; repeated rows are rows of their own. The reference list is broadcast and must have at most
 ``BROADCAST_ROWS`` entries (checked; more raise an error).
@@ -18,12 +21,12 @@ import re
 import unicodedata
 from collections import Counter, defaultdict
 from collections.abc import Iterable
+from dataclasses import dataclass, field
 from itertools import combinations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lavra.llm.vocabulary import ALIASES, FILLERS, OTHER_WORDS, STEMS
 from lavra.runtime import BROADCAST_ROWS, bounded, cut, map_batches
 
 NEIGHBOURS = {}
@@ -33,10 +36,23 @@ for _row in ("qwertyuiop", "asdfghjkl", "zxcvbnm"):
         NEIGHBOURS.setdefault(_b, set()).add(_a)
 
 
+#: A word seen so often may be a word of its own.
+FREQUENT = 5
 #: The stem of words that say nothing.
 FILLER = "-"
 
 
+@dataclass(frozen=True)
+class Knowledge:
+    """What is known of a field beside its list: words that say nothing, words for a list's word, other ways to write an
+    entry by its name, and words of other things that look like the list's."""
+
+    fillers: frozenset[str] = frozenset()
+    stems: dict[str, str] = field(default_factory=dict)
+    aliases: dict[str, list[str]] = field(default_factory=dict)
+    others: frozenset[str] = frozenset()
+
+
 def normal_words(text: str) -> list[str]:
     """Lower-case words without accents; words with figures are left out, but for numbers of two or three."""
     s = "".join(c for c in unicodedata.normalize("NFD", text.lower()) if not unicodedata.combining(c))
@@ -71,22 +87,22 @@ def weighted_distance(typed: str, meant: str) -> float:
 class Dictionary:
     """The words of one reference list, their stems, and the symmetric-delete index over them."""
 
-    def __init__(self, entries: Iterable[tuple[str, str]], frequency: dict[str, int], edits: int = 2):
+    def __init__(self, entries: Iterable[tuple[str, str]], frequency: dict[str, int], edits: int = 2, knowledge: Knowledge = Knowledge()):
         self.frequency, self.edits = frequency, edits
-        stem_of = {w: s for s, ws in STEMS.items() for w in (s, *ws.split())}
+        stem_of = {w: s for s, ws in knowledge.stems.items() for w in (s, *ws.split())}
         self.entries: list[tuple[str, frozenset[str]]] = []
         words: dict[str, str] = {}
 
         def stems(phrase: str) -> frozenset[str]:
             out = set()
             for w in normal_words(phrase):
-                if w not in FILLERS:
+                if w not in knowledge.fillers:
                     words[w] = stem_of.get(w, w)
                     out.add(words[w])
             return frozenset(out)
 
         for canon, name in entries:
-            for phrase in (name, *ALIASES.get(name, ())):
+            for phrase in (name, *knowledge.aliases.get(name, ())):
                 if (bag := stems(phrase)):
                     self.entries.append((canon, bag))
         used = {s for _, bag in self.entries for s in bag}
@@ -94,7 +110,7 @@ class Dictionary:
             if s in used:
                 words.setdefault(w, s)
         self.words = words
-        self.known = dict(words) | {w: "" for w in OTHER_WORDS if w not in words} | {w: FILLER for w in FILLERS if w not in words}
+        self.known = dict(words) | {w: "" for w in knowledge.others if w not in words} | {w: FILLER for w in knowledge.fillers if w not in words}
         self.longest = max(map(len, self.known), default=0)
         self.index: dict[str, list[str]] = defaultdict(list)
         for w in self.known:
@@ -133,7 +149,7 @@ class Dictionary:
         if not ranked:
             return None
         best = ranked[0][2]
-        if own >= 5 and own * 3 > self.frequency.get(best, 0):
+        if own >= FREQUENT and own * 3 > self.frequency.get(best, 0):
             return None  # as frequent as the word it resembles: a word of its own
         return self.known[best] or None
 
@@ -153,7 +169,7 @@ class Dictionary:
         return best[0][0]
 
 
-def map_values(values: DataFrame, reference: DataFrame, least: float = 0.6, edits: int = 2) -> DataFrame:
+def map_values(values: DataFrame, reference: DataFrame, least: float = 0.6, edits: int = 2, knowledge: Knowledge = Knowledge()) -> DataFrame:
     """``values`` (with columns ``grupo``, ``value``) plus ``canon_id``, from ``reference`` (``canon_id, grupo, nome``)."""
     spark = values.sparkSession
     listed = bounded(reference.select("canon_id", "grupo", "nome").where("canon_id is not null and grupo is not null and nome is not null"))
@@ -171,26 +187,44 @@ def map_values(values: DataFrame, reference: DataFrame, least: float = 0.6, edit
         yield [k[0] for k in counts], [k[1] for k in counts], list(counts.values())
 
     words = map_batches(distinct.select("grupo", "value", "n"), count, "grupo string, word string, n long").groupBy("grupo", "word").agg(F.sum("n").alias("n"))
-    frequent = bounded(words.where("n >= 5"))  # rarer words need no protection from correction
-    frequency: dict[str, dict[str, int]] = defaultdict(dict)
-    if frequent is not None:
-        for g, w, n in zip(*(frequent[c].to_pylist() for c in ("grupo", "word", "n"))):
-            frequency[g][w] = n
+    frequent_words = words.where(F.col("n") >= FREQUENT)  # rarer words need no protection from correction
+    frequent = bounded(frequent_words)
     entries: dict[str, list[tuple[str, str]]] = defaultdict(list)
     for c, g, name in sorted(zip(*(listed[x].to_pylist() for x in ("canon_id", "grupo", "nome")))):
         entries[g].append((c, name))
-    sent = spark.sparkContext.broadcast((dict(entries), dict(frequency)))
+    told = distinct.select("grupo", "value")
+    if frequent is None:
+        # the list's own words are few; the words of a value come with it
+        own = [(g, w) for g, es in entries.items() for w in Dictionary(es, {}, edits, knowledge).known]
+        frequent = frequent_words.join(F.broadcast(spark.createDataFrame(own, "grupo string, word string")), ["grupo", "word"]).toArrow()
+
+        def ask(batches):
+            for groups, column in batches:
+                out = [(g, v, w) for g, v in zip(groups, column) for w in dict.fromkeys(normal_words(v))]
+                yield [x[0] for x in out], [x[1] for x in out], [x[2] for x in out]
+
+        counted = map_batches(told, ask, "grupo string, value string, word string").join(frequent_words, ["grupo", "word"])
+        told = told.join(counted.groupBy("grupo", "value").agg(F.collect_list(F.struct("word", "n")).alias("counts")), ["grupo", "value"], "left")
+    else:
+        told = told.withColumn("counts", F.lit(None).cast("array<struct<word: string, n: bigint>>"))
+    frequency: dict[str, dict[str, int]] = defaultdict(dict)
+    for g, w, n in zip(*(frequent[c].to_pylist() for c in ("grupo", "word", "n"))):
+        frequency[g][w] = n
+    sent = spark.sparkContext.broadcast((dict(entries), dict(frequency), knowledge))
 
     def run(batches):
-        entries, frequency = sent.value
+        entries, frequency, knowledge = sent.value
         made: dict[str, Dictionary] = {}
-        for groups, column in batches:
+        for groups, column, counts in batches:
             out = []
-            for g, v in zip(groups, column):
+            for g, v, own in zip(groups, column, counts):
                 if g not in made:
-                    made[g] = Dictionary(entries.get(g, ()), frequency.get(g, {}), edits)
+                    made[g] = Dictionary(entries.get(g, ()), dict(frequency.get(g, {})), edits, knowledge)
+                if own:
+                    made[g].frequency |= {x["word"]: x["n"] for x in own}
                 out.append(made[g].canon(v, least))
             yield groups, column, out
 
-    mapped = map_batches(distinct.select("grupo", "value"), run, "grupo string, value string, canon_id string")
+    spread = told.repartition(max(12, spark.sparkContext.defaultParallelism), "grupo", "value")
+    mapped = map_batches(spread, run, "grupo string, value string, canon_id string")
     return values.join(mapped, ["grupo", "value"])

@@ -3,6 +3,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lavra.llm.canonical import map_values
+from lavra.llm.vocabulary import COURT
 from lavra.runtime import table
 
 
@@ -16,7 +17,7 @@ def _values(spark, d):
 
 
 def _mapped(spark, d):
-    return map_values(_values(spark, d), table(spark, d, "lista_canonica"))
+    return map_values(_values(spark, d), table(spark, d, "lista_canonica"), knowledge=COURT)
 
 
 def p3_found(spark, d):

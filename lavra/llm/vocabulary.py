@@ -1,7 +1,9 @@
-"""Words of court fee tables and expert registers; fixed values of the field, used by the mapping of typed values."""
+"""Words of court fee tables and expert registers: fixed values of the field, passed to the mapping of typed values as ``COURT``."""
 
 from __future__ import annotations
 
+from lavra.llm.canonical import Knowledge
+
 #: Words that say nothing about which entry is meant.
 FILLERS = frozenset(
     "de da do das dos e em com c por p para pra ou no na nos nas a o os ao s n "
@@ -51,3 +53,5 @@ OTHER_WORDS = frozenset(
     "aerea balistico arma diligencia locacao sala guarda veiculo patio outros transporte testemunha astronomia filosofia historia geografia sociologia "
     "militar policial professor secretario motorista cozinheiro ator pintor escritor fotografo dados conta banco agencia conforme nao".split()
 )
+
+COURT = Knowledge(FILLERS, STEMS, ALIASES, OTHER_WORDS)

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lavra.llm.site_lines import repeated_lines, without_repeated_lines
+from lavra.llm.site_lines import cleaned, repeated_lines
 from lavra.runtime import table
 
 
@@ -18,8 +18,7 @@ def p4_lines(spark, d):
 
 def p4_clean(spark, d):
     """Every page without the repeated lines of its source."""
-    pages = table(spark, d, "pages")
-    return without_repeated_lines(pages, repeated_lines(pages)).select("page_id", "text", "header", "footer")
+    return cleaned(table(spark, d, "pages"))
 
 
 def queries():
@@ -45,4 +44,10 @@ def oracle_sql():
     return {
         "p4_found": _KEYED + "select page_id, field_name, cast(line_no as integer) as line_no from keyed join kept using (source, key)",
         "p4_lines": _KEYED + "select source, key, max(in_docs) as in_docs, max(docs) as docs, count(*) as occurrences from keyed join kept using (source, key) group by source, key",
+        "p4_clean": _KEYED + """, marked as (
+  select k.page_id, k.field_name, k.line_no, k.line, kept.key is not null as dropped from keyed k left join kept on k.source = kept.source and k.key = kept.key
+), rebuilt as (
+  select page_id, field_name, coalesce(string_agg(line, chr(10) order by line_no) filter (where not dropped), '') as body from marked group by page_id, field_name
+) select p.page_id, t.body as text, h.body as header, f.body as footer from pages p left join rebuilt t on t.page_id = p.page_id and t.field_name = 'text'
+  left join rebuilt h on h.page_id = p.page_id and h.field_name = 'header' left join rebuilt f on f.page_id = p.page_id and f.field_name = 'footer'""",
     }

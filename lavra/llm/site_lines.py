@@ -26,6 +26,8 @@ from lavra.runtime import bounded, cut, map_batches
 FIELDS = ("text", "header", "footer")
 #: Counters of a task's summary per source. Doubled until the summed error is below the threshold of every source.
 COUNTERS = 4096
+#: Counters a task holds over all its sources before it hands its summaries on and begins new ones.
+HELD = 1_000_000
 
 
 class _Fold(dict):
@@ -92,6 +94,12 @@ def _summaries(pages: DataFrame, counters: int) -> DataFrame:
                     for key in line_keys(text):
                         if key:
                             s.add(key, document)
+            if len(by_source) * 2 * counters > HELD and sum(len(s.counts) for s in by_source.values()) > HELD:
+                yield from parts(by_source)
+                by_source = {}
+        yield from parts(by_source)
+
+    def parts(by_source):
         for source, s in by_source.items():
             s.prune()
             # the row with the null key carries the error of this summary
@@ -113,16 +121,28 @@ def candidates(pages: DataFrame, min_docs: int = 5, min_share: float = 0.2, coun
         counters *= 4
 
 
+def _model(lines: DataFrame) -> dict[str, set[str]] | None:
+    """``source, key`` as sets by source, or None if there are too many to hold."""
+    small = bounded(lines.select("source", "key"))
+    if small is None:
+        return None
+    model: dict[str, set[str]] = {}
+    for source, key in zip(small["source"].to_pylist(), small["key"].to_pylist()):
+        model.setdefault(source, set()).add(key)
+    return model
+
+
 def repeated_lines(pages: DataFrame, min_docs: int = 5, min_share: float = 0.2, counters: int = COUNTERS) -> DataFrame:
-    """``page_id, field_name, line_no, source, key, docs``: every line whose key is repeated in its source."""
+    """``page_id, field_name, line_no, source, key, in_docs, docs``: every line whose key is repeated in its source."""
+    found, kept = _found(pages, min_docs, min_share, counters)
+    return found.join(kept, ["source", "key"]).select("page_id", "field_name", "line_no", "source", "key", "in_docs", "docs")
+
+
+def _found(pages: DataFrame, min_docs: int, min_share: float, counters: int) -> tuple[DataFrame, DataFrame]:
+    """The lines of all candidates, and ``source, key, in_docs, docs`` of those that an exact count confirms."""
     wanted = cut(candidates(pages, min_docs, min_share, counters))
-    small = bounded(wanted.select("source", "key"))
     schema = "page_id long, field_name string, line_no int, source string, document_id long, key string"
-    model: dict[str, set[str]] | None = None
-    if small is not None:
-        model = {}
-        for source, key in zip(small["source"].to_pylist(), small["key"].to_pylist()):
-            model.setdefault(source, set()).add(key)
+    model = _model(wanted)
     sent = pages.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
@@ -146,14 +166,53 @@ def repeated_lines(pages: DataFrame, min_docs: int = 5, min_share: float = 0.2,
     found = cut(found)
     counted = found.where("document_id is not null").select("source", "key", "document_id").distinct().groupBy("source", "key").agg(F.count("*").alias("in_docs"))
     kept = counted.join(wanted, ["source", "key"]).where((F.col("in_docs") >= min_docs) & (F.col("in_docs") >= min_share * F.col("docs")))
-    return found.join(kept, ["source", "key"]).select("page_id", "field_name", "line_no", "source", "key", "in_docs", "docs")
+    return found, kept
+
 
+def cleaned(pages: DataFrame, min_docs: int = 5, min_share: float = 0.2, counters: int = COUNTERS) -> DataFrame:
+    """``page_id, text, header, footer`` of every page without the repeated lines of its source.
+
+    The confirmed lines are sent to where the pages are read; only if they are too many to hold, pages are joined with them.
+    """
+    _, kept = _found(pages, min_docs, min_share, counters)
+    kept = cut(kept)
+    model = _model(kept)
+    if model is None:
+        numbered = cut(pages.select(F.monotonically_increasing_id().alias("row"), *(F.col(c) for c in ("page_id", "source", *FIELDS))))
+        return _without(numbered, kept).select("page_id", *FIELDS)
+    sent = pages.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        by_source = sent.value
+        for ids, sources, *fields in batches:
+            out = []
+            for column in fields:
+                kept = []
+                for source, text in zip(sources, column):
+                    keys = by_source.get(source)
+                    if text and keys:
+                        marks = line_keys(text)
+                        if not keys.isdisjoint(marks):
+                            text = "\n".join(x for x, k in zip(text.split("\n"), marks) if k not in keys)
+                    kept.append(text)
+                out.append(kept)
+            yield ids, *out
+
+    return map_batches(pages.select("page_id", "source", *FIELDS), run, "page_id long, " + ", ".join(f"{f} string" for f in FIELDS))
+
+
+def _without(numbered: DataFrame, kept: DataFrame) -> DataFrame:
+    """``numbered`` (row, source and fields) without the lines in ``kept``, by joins."""
+
+    def run(batches):
+        for rows, sources, *fields in batches:
+            out = [(row, f"{name}/{i}", source, key) for row, source, *texts in zip(rows, sources, *fields) if source is not None for name, text in zip(FIELDS, texts) for i, key in enumerate(line_keys(text), 1) if key]
+            yield [x[0] for x in out], [x[1] for x in out], [x[2] for x in out], [x[3] for x in out]
 
-def without_repeated_lines(pages: DataFrame, lines: DataFrame) -> DataFrame:
-    """``pages`` with the lines in ``lines`` (page_id, field_name, line_no) removed from their fields; rows all stay."""
-    drop = lines.groupBy("page_id").agg(*(F.collect_set(F.when(F.col("field_name") == f, F.col("line_no"))).alias(f"_drop_{f}") for f in FIELDS))
-    out = pages.join(drop, "page_id", "left")
+    lines = map_batches(numbered.select("row", "source", *FIELDS), run, "row long, place string, source string, key string").join(kept.select("source", "key"), ["source", "key"], "left_semi")
+    drop = lines.groupBy("row").agg(F.collect_set("place").alias("places"))
+    out = numbered.join(drop, "row", "left")
     for f in FIELDS:
-        kept = F.filter(F.transform(F.split(f, "\n", -1), lambda x, i: F.struct((i + 1).cast("int").alias("i"), x.alias("x"))), lambda s: ~F.array_contains(F.col(f"_drop_{f}"), s["i"]))
-        out = out.withColumn(f, F.when(F.size(f"_drop_{f}") > 0, F.array_join(F.transform(kept, lambda s: s["x"]), "\n")).otherwise(F.col(f)))
-    return out.drop(*(f"_drop_{f}" for f in FIELDS))
+        kept_lines = F.filter(F.transform(F.split(f, "\n", -1), lambda x, i: F.struct(F.concat(F.lit(f"{f}/"), i + 1).alias("i"), x.alias("x"))), lambda x: ~F.array_contains("places", x["i"]))
+        out = out.withColumn(f, F.when(F.col("places").isNotNull(), F.array_join(F.transform(kept_lines, lambda x: x["x"]), "\n")).otherwise(F.col(f)))
+    return out

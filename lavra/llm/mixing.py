@@ -4,8 +4,8 @@ Sizes are tokens. For each mixture the total is the largest at which no source m
 part of it, divided by its size, is how often its records are used on average. Records whose text occurs k times in the
 source count for 1/k each, up to the cap, so that copies don't take room from other texts. The whole part of a record's
 share is certain copies; for the rest a Pareto sample is drawn: each record gets random odds divided by its inclusion odds,
-and records are taken in that order while they fit the missing tokens; those too large for what is left are passed over
-(``rounds`` times), and a last one is the record that fits the remainder best. The random numbers come from a hash of mixture
+and records are taken in that order while they fit the missing tokens; those too large for what is left are passed over,
+again and again until nothing that fits is left, and a last one is the record that fits the remainder best. The random numbers come from a hash of mixture
 and record, so a run repeats exactly.
 
 The order isn't sorted in one place: scores are counted into bins per source, whole bins are taken while they fit, and only
@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lavra.llm.tokens import TOKENIZER, token_counts
-from lavra.runtime import cut
+from lavra.runtime import BROADCAST_ROWS, cut
 
 BINS = 65_536
 KEYS = ["mistura_id", "source"]
@@ -69,11 +69,13 @@ def plan(docs: DataFrame, targets: DataFrame) -> DataFrame:
     return parts.join(by_weight, "source").groupBy("mistura_id", "source").applyInPandas(solve, "mistura_id int, source string, alvo double, budget double, factor double, cap int")
 
 
-def mixed(documents: DataFrame, targets: DataFrame, path: str = TOKENIZER, bins: int = BINS, rounds: int = 3) -> DataFrame:
+def mixed(documents: DataFrame, targets: DataFrame, path: str = TOKENIZER, bins: int = BINS) -> DataFrame:
     """``mistura_id, source, doc_id, tokens, copies``: the records used, with their repetitions."""
     docs = cut(sized(documents, path))
     planned = cut(plan(docs, targets))
-    rows = docs.join(F.broadcast(planned), "source")  # a row for each source of a mixture
+    # tables by mixture and source are sent only if they are few; a join beyond
+    small = F.broadcast if planned.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else lambda x: x
+    rows = docs.join(small(planned), "source")  # a row for each source of a mixture
     share = F.least(F.col("factor") * F.col("weight"), F.col("cap").cast("double"))
     rows = rows.withColumn("share", share).withColumn("whole", F.floor(F.col("share") + 1e-9)).withColumn("rest", F.greatest(F.col("share") - F.col("whole"), F.lit(0.0)))
     u = uniform("mistura_id", "doc_id", F.lit(20240229))
@@ -81,15 +83,17 @@ def mixed(documents: DataFrame, targets: DataFrame, path: str = TOKENIZER, bins:
     rows = rows.withColumn("score", F.when(F.col("rest") > 1e-9, odds / (1 + odds)))
     rows = rows.withColumn("bin", F.floor(F.col("score") * bins).cast("int")).select("mistura_id", "source", "doc_id", "tokens", "whole", "score", "bin")
     rows = cut(rows.withColumn("extra", F.lit(0)))
-    for _ in range(rounds):
-        rows = cut(_take(rows, planned, bins))
-    # what is then missing is less than any record left in order; the one that fits it best, if any does, is taken too
-    lacking = _lacking(rows, planned)
+    while True:
+        rows = cut(_take(rows, lacking := cut(_lacking(rows, planned)), bins, small))
+        lacking = cut(_lacking(rows, planned))
+        if rows.where("extra = 0 and score is not null").join(small(lacking), KEYS).where("tokens <= lack").isEmpty():
+            break
+    # what is then missing is less than any record left; the one that fits it best, if any does, is taken too
     fit = F.abs(F.col("tokens") - F.col("lack"))
-    free = rows.where("extra = 0 and score is not null").join(F.broadcast(lacking), KEYS).where(fit < F.col("lack"))
+    free = rows.where("extra = 0 and score is not null").join(small(lacking), KEYS).where(fit < F.col("lack"))
     last = free.groupBy(*KEYS).agg(F.min_by("doc_id", F.struct(fit.alias("d"), "score", "doc_id")).alias("last_id"))
     copies = F.col("whole") + F.col("extra") + F.when((F.col("extra") == 0) & (F.col("doc_id") == F.col("last_id")), 1).otherwise(0)
-    chosen = rows.join(F.broadcast(last), KEYS, "left").withColumn("copies", copies.cast("int"))
+    chosen = rows.join(small(last), KEYS, "left").withColumn("copies", copies.cast("int"))
     return chosen.where("copies > 0").select("mistura_id", "source", "doc_id", "tokens", "copies")
 
 
@@ -99,15 +103,15 @@ def _lacking(rows: DataFrame, planned: DataFrame) -> DataFrame:
     return planned.join(used, KEYS).select(*KEYS, (F.col("budget") - F.col("used")).alias("lack"))
 
 
-def _take(rows: DataFrame, planned: DataFrame, bins: int) -> DataFrame:
+def _take(rows: DataFrame, lacking: DataFrame, bins: int, small) -> DataFrame:
     """Of the records that still fit what is lacking, those that come first by score, until the next wouldn't fit."""
     open_rows = F.expr("extra = 0 and score is not null and tokens <= lack")
-    joined = rows.join(F.broadcast(_lacking(rows, planned)), KEYS).withColumn("open", open_rows)
+    joined = rows.join(small(lacking), KEYS).withColumn("open", open_rows)
     # a source has at most ``bins`` rows here
     w = Window.partitionBy(*KEYS).orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     filled = joined.where("open").groupBy(*KEYS, "bin").agg(F.sum("tokens").alias("in_bin"), F.first("lack").alias("lack")).withColumn("up_to", F.sum("in_bin").over(w))
     crossing = filled.where("up_to > lack").groupBy(*KEYS).agg(F.min_by(F.struct("bin", (F.col("lack") - F.col("up_to") + F.col("in_bin")).alias("left")), "bin").alias("x"))
-    joined = joined.join(F.broadcast(crossing), KEYS, "left").withColumn("cross", F.coalesce("x.bin", F.lit(bins))).withColumn("left", F.coalesce("x.left", F.lit(0.0))).drop("x")
+    joined = joined.join(small(crossing), KEYS, "left").withColumn("cross", F.coalesce("x.bin", F.lit(bins))).withColumn("left", F.coalesce("x.left", F.lit(0.0))).drop("x")
     inner = Window.partitionBy(*KEYS).orderBy("score", "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     edge = joined.where("open and bin = cross").withColumn("extra", (F.sum("tokens").over(inner) <= F.col("left")).cast("int"))
     others = joined.where("not (open and bin = cross)").withColumn("extra", F.when(F.col("open") & (F.col("bin") < F.col("cross")), 1).otherwise(F.col("extra")))

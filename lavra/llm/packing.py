@@ -8,8 +8,10 @@ level smallest; the numbers are kept in a level array, ties go to the fullest co
 Items are spread over blocks by a hash, about ``BLOCK`` a block, and each block is packed by itself; the containers a block
 leaves unfilled are then packed once more as items of their level, in blocks again. The blocks hold ids and sizes only.
 
-Defined results: null and empty texts take no room and are in no container; repeated rows are items of their own; the
-number of blocks follows from the number of items, so that every size is handled alike; other columns are ignored.
+Defined results: null and empty texts take no room and are in no container; repeated rows are items of their own; a
+character larger than the capacity is divided between pieces, the first of which holds its place; capacities below 1 are
+none; the number of blocks follows from the number of items, so that every size is handled alike; containers follow from
+the rows alone, not from how they are spread; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -19,8 +21,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lavra.llm.tokens import TOKENIZER, encoder, pieces
-from lavra.runtime import cut, map_batches
+from lavra.llm.tokens import TOKENIZER, encode, encoder
+from lavra.runtime import cut, map_batches, small
 
 BLOCK = 40_000
 #: Containers filled less than this go through the second packing.
@@ -68,9 +70,7 @@ def pack(sizes, capacity: int) -> list[int]:
 def text_pieces(text: str, capacities: list[int], path: str = TOKENIZER) -> dict[int, list[tuple[int, int, int, int]]]:
     """For each capacity the pieces of a text: ``(first token, tokens, start, end)``, positions in characters."""
     enc = encoder(path)
-    sizes: list[int] = []  # bytes of each token
-    for p in pieces(text):
-        sizes += [len(enc.decode_single_token_bytes(t)) for t in enc.encode_ordinary(p)]
+    sizes = [len(enc.decode_single_token_bytes(t)) for t in encode(text, path)]  # bytes of each token
     n = len(sizes)
     out = {c: [(0, n, 0, len(text))] for c in capacities if n <= c}
     if len(out) == len(capacities):
@@ -87,8 +87,9 @@ def text_pieces(text: str, capacities: list[int], path: str = TOKENIZER) -> dict
         parts, at, pos = [], 0, 0
         while at < n:
             to = min(n, at + c)
-            while to < n and not at_character[to - 1]:
+            while at < to < n and not at_character[to - 1]:
                 to -= 1
+            to = to if to > at else min(n, at + c)
             end = int(characters[ends[to - 1]])
             parts.append((at, to - at, pos, end))
             at, pos = to, end
@@ -97,29 +98,29 @@ def text_pieces(text: str, capacities: list[int], path: str = TOKENIZER) -> dict
 
 
 def items(documents: DataFrame, containers: DataFrame, path: str = TOKENIZER) -> DataFrame:
-    """``recipiente_id, capacity, doc_id, piece, first_token, tokens, start_pos, end_pos``."""
-    kinds = [(r.recipiente_id, r.capacidade_tokens) for r in containers.select("recipiente_id", "capacidade_tokens").distinct().collect() if r.capacidade_tokens and r.capacidade_tokens > 8]  # the kinds of containers asked for
+    """``recipiente_id, capacity, doc_id, same, piece, first_token, tokens, start_pos, end_pos``; ``same`` stands for the text."""
+    kinds = [(r.recipiente_id, r.capacidade_tokens) for r in containers.select("recipiente_id", "capacidade_tokens").distinct().collect() if r.capacidade_tokens and r.capacidade_tokens > 0]  # the kinds of containers asked for
 
     def run(batches):
-        for ids, texts in batches:
-            out: list[list] = [[] for _ in range(8)]
-            for i, text in zip(ids, texts):
+        for ids, same, texts in batches:
+            out: list[list] = [[] for _ in range(9)]
+            for i, h, text in zip(ids, same, texts):
                 if not text:
                     continue
                 by = text_pieces(text, sorted({c for _, c in kinds}), path)
                 for r, c in kinds:
                     for k, part in enumerate(by[c]):
-                        for column, v in zip(out, (r, c, i, k, *part)):
+                        for column, v in zip(out, (r, c, i, h, k, *part)):
                             column.append(v)
             yield out
 
-    return map_batches(documents.select("doc_id", "text"), run, "recipiente_id int, capacity int, doc_id long, piece int, first_token int, tokens int, start_pos int, end_pos int")
+    return map_batches(documents.select("doc_id", F.xxhash64("text").alias("same"), "text"), run, "recipiente_id int, capacity int, doc_id long, same long, piece int, first_token int, tokens int, start_pos int, end_pos int")
 
 
 def _packed(things: DataFrame, block: int) -> DataFrame:
     """``recipiente_id, key, box, level`` of ``recipiente_id, capacity, key, tokens``."""
     n = things.groupBy("recipiente_id").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    spread = things.join(F.broadcast(n), "recipiente_id").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+    spread = things.join(small(n), "recipiente_id").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("order", kind="stable")
@@ -135,11 +136,14 @@ def _packed(things: DataFrame, block: int) -> DataFrame:
 
 def containers_of(documents: DataFrame, containers: DataFrame, path: str = TOKENIZER, block: int = BLOCK) -> DataFrame:
     """``recipiente_id, container, doc_id, piece, first_token, tokens, start_pos, end_pos``: what is in every container."""
-    all_items = cut(items(documents, containers, path).withColumn("key", F.concat_ws("-", "doc_id", "piece", F.monotonically_increasing_id())))
+    # repeated rows are told apart by a number, which one of them has which makes no difference
+    made = items(documents, containers, path)
+    counted = made.groupBy(*made.columns).agg(F.count("*").cast("int").alias("times")).withColumn("k", F.explode(F.sequence(F.lit(1), F.col("times"))))
+    all_items = cut(counted.withColumn("key", F.concat_ws("-", "doc_id", F.hex("same"), "piece", "k")))
     full = all_items.where("tokens = capacity").withColumn("container", F.concat_ws(".", "recipiente_id", F.lit("full"), "key"))
     first = cut(_packed(all_items.where("tokens < capacity").select("recipiente_id", "capacity", "key", "tokens"), block))
     size = all_items.select("recipiente_id", "capacity").distinct()
-    loose = first.groupBy("recipiente_id", "box").agg(F.first("level").alias("tokens")).join(F.broadcast(size), "recipiente_id").where(F.col("tokens") < AGAIN * F.col("capacity"))
+    loose = first.groupBy("recipiente_id", "box").agg(F.first("level").alias("tokens")).join(small(size), "recipiente_id").where(F.col("tokens") < AGAIN * F.col("capacity"))
     second = cut(_packed(loose.select("recipiente_id", "capacity", F.col("box").alias("key"), "tokens"), block)).select("recipiente_id", F.col("key").alias("box"), F.concat(F.lit("m"), "box").alias("merged"))
     placed = first.join(second, ["recipiente_id", "box"], "left").select("recipiente_id", "key", F.coalesce("merged", "box").alias("container"))
     done = all_items.join(placed, ["recipiente_id", "key"])

@@ -36,7 +36,7 @@ def corpus(spark, extra=()):
 
 
 @pytest.mark.parametrize("f", [
-    lambda p: site_lines.repeated_lines(p), lambda p: site_lines.without_repeated_lines(p, site_lines.repeated_lines(p)), lambda p: encoding.garbled_lines(p),
+    lambda p: site_lines.repeated_lines(p), lambda p: site_lines.cleaned(p), lambda p: encoding.garbled_lines(p), lambda p: encoding.restored_pages(p),
     lambda p: scans.noise(p), lambda p: scans.repaired(p), lambda p: personal.found(p.select(F.lit("pages").alias("src"), F.col("page_id").alias("row_id"), "text"), personal.lexicon(p.select("text"))),
     lambda p: sentences.sentence_units(p.withColumn("doc_id", F.col("page_id"))),
 ])
@@ -62,7 +62,7 @@ def brute_repeated(rows, min_docs=5, share=0.2):
 
 
 @pytest.mark.parametrize("counters", [2, 4096])
-def test_repeated_lines_like_brute_force(spark, counters):
+def test_repeated_lines_like_brute_force(spark, monkeypatch, counters):
     rng = random.Random(7)
     rows = []
     for i in range(400):
@@ -73,9 +73,13 @@ def test_repeated_lines_like_brute_force(spark, counters):
     df = pages_df(spark, rows)
     got = site_lines.repeated_lines(df, counters=counters)
     assert Counter((r.page_id, r.field_name, r.line_no) for r in got.collect()) == brute_repeated(rows)
-    cleaned = site_lines.without_repeated_lines(df, got.select("page_id", "field_name", "line_no"))
-    assert cleaned.count() == len(rows)
-    assert site_lines.repeated_lines(cleaned).isEmpty()
+    drop = {tuple(r) for r in got.select("page_id", "field_name", "line_no").collect()}
+    strip = lambda p, f, t: t if t is None else "\n".join(x for i, x in enumerate(t.split("\n"), 1) if (p, f, i) not in drop)
+    want = Counter((p, *(strip(p, f, t) for f, t in zip(site_lines.FIELDS, fields))) for p, _, _, _, *fields in rows)
+    assert Counter(map(tuple, site_lines.cleaned(df, counters=counters).collect())) == want
+    monkeypatch.setattr(site_lines, "bounded", lambda *a, **k: None)
+    monkeypatch.setattr(site_lines, "HELD", 10)
+    assert Counter(map(tuple, site_lines.cleaned(df, counters=counters).collect())) == want
 
 
 def test_summary_bounds_counts():
@@ -133,6 +137,29 @@ def test_automaton_finds_all_like_brute_force():
     assert automaton.intersect("zzz", trie, 1) == []
 
 
+def test_general_edits_like_brute_force():
+    rng = random.Random(6)
+    vocabulary = sorted({"".join(rng.choice("abcde") for _ in range(rng.randint(4, 6))) for _ in range(150)})
+    trie = scans.Trie()
+    for w in vocabulary:
+        trie.add(w, 100)
+    loose = scans.Automaton(confusions=(), most=1.0, general=1.0)
+
+    def edits(w):
+        return {w} | {w[:i] + x + w[j:] for i in range(len(w) + 1) for x in ("", *"abcdez") for j in (i, i + 1) if j <= len(w)}
+
+    for w in vocabulary[:40]:
+        for read in rng.sample(sorted(edits(w) - {w}), 12):
+            assert {v for _, _, v, _ in loose.intersect(read, trie, 1)} == {v for v in vocabulary if v != read and read in edits(v)}
+
+
+@pytest.mark.parametrize("read, want", [
+    ("1.2S4,00", "1.254,00"), ("lO/O3/2024", "10/03/2024"), ("1B,5", "18,5"), ("12OA", "120A"), ("OOSA", "005A"), ("l4h3O", "14h30"), ("lOh", None), ("1234", None), ("SOl", None), ("B12", None), ("", None), ("1-", None),
+])
+def test_amounts(read, want):
+    assert scans.Amounts().printed(read) == want
+
+
 def test_scan_noise(spark):
     extra = [
         (2000, "s0", 900, 3, "Ana Lima x Banco Real — autos\nO perit0 constatou infiltração na laje do pré-\ndio e rcstou R$ 1.2S4,00.\nVerificou-\nse deformação\nfl. 03", "Ana Lima x Banco Real — autos", None),
@@ -146,12 +173,15 @@ def test_scan_noise(spark):
 
 
 @pytest.mark.parametrize("module, f", [
-    (scans, lambda p: scans.noise(p)), (site_lines, lambda p: site_lines.repeated_lines(p).select("page_id", "field_name", "line_no")), (encoding, lambda p: encoding.garbled_lines(p).select("page_id", "line_no", "restored")),
+    (scans, lambda p: scans.noise(p)), (site_lines, lambda p: site_lines.repeated_lines(p).select("page_id", "field_name", "line_no")), (encoding, lambda p: encoding.garbled_lines(p).select("page_id", "line_no", "restored")), (encoding, lambda p: encoding.restored_pages(p).withColumn("lost_lines", F.col("lost_lines").cast("string"))),
+    (personal, lambda p: personal.found(t := p.select(F.lit("p").alias("src"), F.col("page_id").alias("row_id"), "text"), personal.lexicon(t.select("text")))),
 ])
 def test_models_too_large_to_broadcast(spark, monkeypatch, module, f):
     """What is joined because it is too large to hold gives what a held model gives."""
     wrong = SENTENCES[1].encode("utf-8").decode("latin-1")
-    extra = [(2000 + i, "s0", 900 + i, 3, f"O perit0 constatou infiltração na laje do pré-\ndio e rcstou. A infil-\ntraçã0\n{wrong}\nVerificou-\nse deformação", None, "O laudo complernentar") for i in range(4)]
+    soft = "é certo".encode("utf-8").decode("latin-1") + " perícia" + "\u00ad".encode("utf-8").decode("latin-1")
+    extra = [(2000 + i, "s0", 900 + i, 3, f"O perit0 constatou infiltração na laje do pré-\ndio e rcstou. A infil-\ntraçã0\n{wrong}\nVerificou-\nse deformação do guarda-\nchuva, um guarda-chuva\n{soft}\nsem acento", None, "O laudo complernentar") for i in range(4)]
+    extra += [(3000 + i, "s1", 990 + i, 1, f"Segundo {a} {b} {c}, vizinha. Falar com {a} {c}.", None, None) for i, (a, b, c) in enumerate((a, b, c) for a in ("Ana", "Rui") for b in ("Lima", "Dias") for c in ("Farias", "Tonigrato"))]
     df = corpus(spark, extra)
     want = Counter(map(tuple, f(df).collect()))
     monkeypatch.setattr(module, "bounded", lambda *a, **k: None)
@@ -179,6 +209,12 @@ def test_repair_with_models_too_large_to_hold(spark, monkeypatch):
 def test_checksums():
     assert personal.cpf_ok("52998224725") and not personal.cpf_ok("52998224724") and not personal.cpf_ok("11111111111")
     assert personal.luhn_ok("4539578763621486") and not personal.luhn_ok("4539578763621487")
+    assert personal.voter_ok("102385010671") and not personal.voter_ok("102385010672") and personal.cnpj_ok("11222333000181") and not personal.cnpj_ok("11222333000182")
+    case = "0000001" + "2024" + "8150001"
+    dd = f"{98 - int(case + '00') % 97:02d}"
+    assert personal.mod97_ok(f"0000001-{dd}.2024.8.15.0001") and not personal.mod97_ok(f"0000001-{(int(dd) + 1) % 97:02d}.2024.8.15.0001")
+    finder = personal.Finder(personal.Lexicon(set(), set()))
+    assert [k for k, _, _ in finder.find("Ligar para 4539 5787 6362 1486 já")] == [] and [k for k, _, _ in finder.find("CPF nº 529.982.247-25, tel. (11) 91234-5678")] == ["documento", "telefone"]
     assert personal.mod97_ok("GB82 WEST 1234 5698 7654 32") and not personal.mod97_ok("GB82 WEST 1234 5698 7654 33")
 
 
@@ -277,12 +313,14 @@ def test_packing_minimises_squares():
 
 def test_containers(spark):
     rng = random.Random(8)
-    texts = [" ".join(rng.choice(SENTENCES) for _ in range(rng.randint(1, 25))) for _ in range(120)] + ["字が多い文章です。" * 200, "", None, texts_repeat := "x y z"]
+    texts = [" ".join(rng.choice(SENTENCES) for _ in range(rng.randint(1, 25))) for _ in range(120)] + ["字が多い文章です。" * 200, "क्षत्रिय 😀 ऄ", "", None, texts_repeat := "x y z"]
     df = spark.createDataFrame([(i, t, 9) for i, t in enumerate(texts)] + [(999, texts_repeat, 9)], "doc_id long, text string, capacity int")
-    kinds = spark.createDataFrame([(1, 64), (2, 300), (3, None)], "recipiente_id int, capacidade_tokens int")
+    kinds = spark.createDataFrame([(1, 64), (2, 300), (3, None), (4, 0), (5, 1), (6, 5)], "recipiente_id int, capacidade_tokens int")
     rows = packing.containers_of(df, kinds, block=50).collect()
+    again = packing.containers_of(df.repartition(7).sortWithinPartitions("text"), kinds, block=50).collect()
+    assert Counter(map(tuple, again)) == Counter(map(tuple, rows))
     text = dict(enumerate(texts)) | {999: texts_repeat}
-    for kind, capacity in ((1, 64), (2, 300)):
+    for kind, capacity in ((1, 64), (2, 300), (5, 1), (6, 5)):
         fill, pieces = Counter(), defaultdict(list)
         for r in rows:
             if r.recipiente_id == kind:
@@ -298,6 +336,16 @@ def test_containers(spark):
     assert packing.containers_of(df.limit(0), kinds).count() == 0
 
 
+def test_tokens_of_long_white_space():
+    from lavra.llm import tokens
+
+    rng = random.Random(2)
+    for _ in range(100):
+        t = "".join(rng.choice([" ", "\n", " " * rng.randint(500, 700), "\n \t" * 250, "ab", "é.", "1"]) for _ in range(8))
+        assert tokens.encode(t) == tokens.encoder().encode_ordinary(t)
+    assert len(tokens.encode(" " * 300_000 + "x")) > 1
+
+
 def test_mixture(spark):
     rng = random.Random(6)
     rows = [(i, "a" if i % 3 else "b", " ".join(rng.choice(SENTENCES) for _ in range(rng.randint(1, 4))) + str(i), 1) for i in range(900)]
@@ -310,6 +358,10 @@ def test_mixture(spark):
         assert abs(got[1, s].share - want) < 0.005 and got[1, s].most_copies <= cap
     assert got[2, "a"].share == 1.0 and got[2, "none"].tokens == 0
     one = used.where("mistura_id = 1").collect()
+    # nothing that fits what is lacking is left out
+    for s in "abc":
+        chosen = {r.doc_id: r.copies for r in one if r.source == s}
+        assert got[1, s].tokens == sum(r.tokens * r.copies for r in one if r.source == s) and chosen
     assert len({r.doc_id for r in one}) == len(one) and all(r.doc_id < 3000 for r in one)
     assert sorted(map(tuple, one)) == sorted(map(tuple, mixing.mixed(docs, targets, bins=64).where("mistura_id = 1").collect()))
     assert mixing.mixed(docs.limit(0), targets).count() == 0

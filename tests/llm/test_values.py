@@ -4,7 +4,8 @@ from collections import Counter
 
 import pytest
 
-from lavra.llm.canonical import Dictionary, deletes, map_values, weighted_distance
+from lavra.llm.canonical import Dictionary, Knowledge, deletes, map_values, weighted_distance
+from lavra.llm.vocabulary import COURT
 from lavra.llm.names import ends_of, entities, initial_classes, links, resolve, same_between, same_part, words
 
 LIST = [("E1", "G", "Engenharia Civil"), ("E2", "G", "Medicina - Pediatria"), ("E3", "G", "Geologia"), ("H1", "H", "Avaliação de gleba rural até cem hectares"), ("H2", "H", "Avaliação de gleba rural acima de cem hectares")]
@@ -18,18 +19,33 @@ LIST = [("E1", "G", "Engenharia Civil"), ("E2", "G", "Medicina - Pediatria"), ("
     ],
 )
 def test_mapping(group, value, want):
-    assert Dictionary([(c, n) for c, g, n in LIST if g == group], {}).canon(value, 0.6) == want
+    assert Dictionary([(c, n) for c, g, n in LIST if g == group], {}, knowledge=COURT).canon(value, 0.6) == want
 
 
 def test_mapping_table(spark):
     ref = spark.createDataFrame([*LIST, (None, "G", "x"), ("E9", None, "y")], "canon_id string, grupo string, nome string")
     rows = [(1, "G", "eng civil"), (1, "G", "eng civil"), (2, "G", None), (3, "G", "   "), (4, "X", "eng civil"), (5, "G", "")]
     df = spark.createDataFrame(rows, "n int, grupo string, value string")
-    assert Counter((r.n, r.canon_id) for r in map_values(df, ref).collect()) == {(1, "E1"): 2, (4, "-"): 1}
+    assert Counter((r.n, r.canon_id) for r in map_values(df, ref, knowledge=COURT).collect()) == {(1, "E1"): 2, (4, "-"): 1}
     assert {r.canon_id for r in map_values(df, ref.limit(0)).collect()} == {"-"}
     assert map_values(df.limit(0), ref).count() == 0
 
 
+def test_frequencies_joined_or_held(spark, monkeypatch):
+    """A frequent word is a word of its own, without any list of other words, also where frequencies are joined."""
+    ref = spark.createDataFrame(LIST, "canon_id string, grupo string, nome string")
+    rows = [(i, "G", v) for i, v in enumerate(["teologia"] * 8 + ["geologia"] * 9 + ["geoloia", "engenhria civil", "engenharia civil"])]
+    df = spark.createDataFrame(rows, "n int, grupo string, value string")
+    want = Counter((r.value, r.canon_id) for r in map_values(df, ref).collect())
+    assert want == {("teologia", "-"): 8, ("geologia", "E3"): 9, ("geoloia", "E3"): 1, ("engenhria civil", "E1"): 1, ("engenharia civil", "E1"): 1}
+    import lavra.llm.canonical as C
+
+    first = C.bounded
+    calls = iter([first])
+    monkeypatch.setattr(C, "bounded", lambda *a, **k: next(calls, lambda *a, **k: None)(*a, **k))
+    assert Counter((r.value, r.canon_id) for r in map_values(df, ref, knowledge=Knowledge()).collect()) == want
+
+
 def test_symmetric_deletes_find_all():
     import random
 

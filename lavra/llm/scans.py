@@ -282,18 +282,57 @@ def misread_words(counts: DataFrame, ratio: float = 20.0, hard_ratio: float = 8.
     return found.groupBy("word").agg(F.transform(F.filter(best, lambda x: x["printed"].isNotNull()), lambda x: x["printed"]).alias("candidates"))
 
 
+class _Fold(dict):
+    """A character in small letters to what is left of it in a skeleton; filled as characters appear."""
+
+    def __missing__(self, code: int) -> str:
+        kept = "".join(_CONFUSED.get(ord(c), c) for c in unicodedata.normalize("NFD", chr(code)) if not unicodedata.combining(c))
+        self[code] = kept
+        return kept
+
+
+class _Kept(dict):
+    """A character to itself if it is a letter other than i and l, else to nothing."""
+
+    def __missing__(self, code: int) -> str:
+        c = chr(code)
+        self[code] = kept = c if c.isalpha() and c not in "il" else ""
+        return kept
+
+
+_FOLD, _KEPT = _Fold(), _Kept()
+_FIGURES_ALONE = re.compile(r"(?<!\S)\d+(?!\S)")
+_FIGURE = re.compile(r"\d")
+_NO_MARK = re.compile("[^\x00-\x7f\u0300-\u036f]")
+_PAIRS = (("rn", "n"), ("m", "n"), ("nn", "n"), ("vv", "w"), ("ii", "u"), ("cl", "d"), ("h", ""))
+_BYTE_PAIRS = tuple((a.encode(), b.encode()) for a, b in _PAIRS)
+_NOT_KEPT = bytes(c for c in range(256) if not chr(c).isalpha() or c > 127 or chr(c) in "il")
+
+
 def skeleton(line: str) -> int | None:
     """A hash of a line that neither case, accents, punctuation, figures nor misreadings change; None if little is left."""
-    s = "".join(c for c in unicodedata.normalize("NFD", line.lower()) if not unicodedata.combining(c))
-    s = " ".join(t for t in s.split() if not t.isdigit())
-    s = s.replace("\\/", "v").translate(_CONFUSED)
-    for pair, one in (("rn", "n"), ("m", "n"), ("nn", "n"), ("vv", "w"), ("ii", "u"), ("cl", "d"), ("h", "")):
+    s = line.lower()
+    if _FIGURE.search(s):
+        s = _FIGURES_ALONE.sub("", s)
+    if "\\" in s:
+        s = s.replace("\\/", "v")
+    if not s.isascii():
+        s = unicodedata.normalize("NFD", s)
+    if s.isascii() or not _NO_MARK.search(s):
+        b = s.encode("ascii", "ignore").translate(_CONFUSED_BYTES)
+        for pair, one in _BYTE_PAIRS:
+            b = b.replace(pair, one)
+        b = b.translate(None, _NOT_KEPT)
+        return xxhash.xxh3_64_intdigest(b) - (1 << 63) if len(b) >= 6 else None
+    s = s.translate(_FOLD)
+    for pair, one in _PAIRS:
         s = s.replace(pair, one)
-    s = "".join(c for c in s if c.isalpha() and c not in "il")
+    s = s.translate(_KEPT)
     return xxhash.xxh3_64_intdigest(s) - (1 << 63) if len(s) >= 6 else None
 
 
 _CONFUSED = str.maketrans({"0": "o", "@": "a", "4": "a", "1": "i", "!": "i", "5": "s", "6": "b", "8": "b", "9": "g", "2": "z", "e": "c", "r": "f", "t": "f"})
+_CONFUSED_BYTES = bytes(_CONFUSED.get(c, chr(c)).encode("latin-1")[0] for c in range(256))
 #: A line that so many documents of a source print is not a document's own.
 OTHERS = 5
 #: Lines at the top and at the bottom of a page that may be running headers.
@@ -304,8 +343,11 @@ def edge_lines(pages: DataFrame) -> DataFrame:
     """``page_id, source, document, field, line_no, skeleton, shape``: lines where running headers stand."""
 
     def run(batches):
+        seen: dict[str, tuple[int | None, bool]] = {}  # of lines met before
         for ids, sources, documents, texts, headers, footers in batches:
             out: list[list] = [[] for _ in range(7)]
+            if len(seen) > 200_000:
+                seen.clear()
             for page, source, document, text, header, footer in zip(ids, sources, documents, texts, headers, footers):
                 document = -(page or 0) - 1 if document is None else document
                 for field, body in (("text", text), ("header", header), ("footer", footer)):
@@ -315,8 +357,10 @@ def edge_lines(pages: DataFrame) -> DataFrame:
                     if field == "text" and len(lines) > 2 * EDGE:
                         lines = lines[:EDGE] + lines[-EDGE:]
                     for i, x in lines:
-                        if (k := skeleton(x)) is not None:
-                            for column, v in zip(out, (page, source, document, field, i, k, headed(x))):
+                        if (got := seen.get(x)) is None:
+                            got = seen[x] = (skeleton(x), headed(x))
+                        if got[0] is not None:
+                            for column, v in zip(out, (page, source, document, field, i, *got)):
                                 column.append(v)
             yield out
 
@@ -328,6 +372,8 @@ _SHAPE = re.compile(r".+ [|–—] .+ [|–—] .+|.+ x .+ [—–|] .+|.+ e .+
 
 def headed(line: str) -> bool:
     """The shape of a running header: parts set apart by signs, no end of sentence."""
+    if " " not in line or not any(c in line for c in "|–—("):
+        return False
     s = line.strip()
     return bool(_SHAPE.match(s)) and s[-1] not in ".,;:?!-" and 3 <= len(s.split()) <= 16
 

@@ -20,6 +20,7 @@ import html
 import re
 import unicodedata
 from dataclasses import dataclass
+from functools import lru_cache
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -56,9 +57,9 @@ _DOT = r"(?:\.|\s*\[dot\]\s*|\s*\(dot\)\s*|\s*\[ponto\]\s*|\s*\(ponto\)\s*)"
 _MAIL = re.compile(rf"(?<![\w.+!-])[\w.+!-]{{0,120}}\w{_AT}\w[\w-]*(?:{_DOT}\w[\w-]*)+", re.I)
 _MAIL_HINT = re.compile(r"@|\[at\]|\(at\)|arroba", re.I)
 _ADDRESS = re.compile(r"\S+\s+(?:(?:d[aeo]s?|DA|DE|DO|DAS|DOS|e)\s+)*[^\s,;:\da-z][^\s,;:\d]*(?:\s+(?:(?:d[aeo]s?|DA|DE|DO|DAS|DOS|e)\s+)*[^\s,;:\da-z][^\s,;:\d]*){0,5}?(?:,\s*|\s+)(?:(?:[nN][^\s\d]{0,5}|[kK][mM])\s*)?(?:\d+(?:\.\d{3})*(?:\s?-\s?[A-Z](?!\w))?|[sS]/[nN](?:[º°.](?!\S))?)")
+_LONG_NUMBER = re.compile(rf"[(+]*(?:{D}[\s.()/-]*){{7}}")
 _RUN = re.compile(r"(?:[A-Z]{2}\d{2})?[\d. /-]*\d")
 _ASCII = re.compile(r"[^a-zA-Z]")
-_TOKEN = re.compile(r"\S+")
 _EDGE_L, _EDGE_R = "(\"'«[“‘", ")\"'»].,;:!?”’"
 _PARAGRAPH = re.compile(r"\n\s*\n")
 _GIVEN, _STREET, _NUMBER, _INITIAL, _ANNOUNCE = 1, 2, 4, 8, 16
@@ -66,6 +67,7 @@ _GIVEN, _STREET, _NUMBER, _INITIAL, _ANNOUNCE = 1, 2, 4, 8, 16
 _BASE = str.maketrans({"0": "o", "@": "a", "4": "a", "1": "l", "!": "i", "5": "s", "6": "b", "9": "g"})
 
 
+@lru_cache(1 << 17)
 def fold(word: str) -> str:
     """Lower case, without accents."""
     if word.isascii():
@@ -73,6 +75,7 @@ def fold(word: str) -> str:
     return "".join(c for c in unicodedata.normalize("NFD", word.lower()) if not unicodedata.combining(c))
 
 
+@lru_cache(1 << 17)
 def name_key(word: str) -> str:
     """What scan and writing leave of a word of a name: folded, with confusable figures and letters made one."""
     w = fold(word).translate(_BASE)
@@ -125,11 +128,13 @@ def cnpj_ok(digits: str) -> bool:
 
 def luhn_ok(digits: str) -> bool:
     """The mod-10 check of payment cards."""
+    if not 13 <= len(digits) <= 19 or len(set(digits)) == 1:
+        return False
     total = 0
     for i, d in enumerate(reversed(digits)):
         n = int(d) * (1 + i % 2)
         total += n - 9 * (n > 9)
-    return 13 <= len(digits) <= 19 and len(set(digits)) > 1 and total % 10 == 0
+    return total % 10 == 0
 
 
 def mod97_ok(number: str) -> bool:
@@ -172,6 +177,7 @@ def readable(source: str) -> tuple[str, list[int], list[int]]:
     return "".join(out), starts, ends
 
 
+@lru_cache(1 << 17)
 def style(w: str) -> str:
     """How a word is written: T(itle), U(pper), l(ower) or '' for none."""
     letters = [c for c in w if c.isalpha()]
@@ -221,11 +227,10 @@ class Finder:
         if _MAIL_HINT.search(text):
             for m in _MAIL.finditer(text):
                 self.propose(spans, [("email", m.start(), m.end(), WEIGHTS["email"])])
-        toks = list(_TOKEN.finditer(text))
+        words = text.split()
         cache = self.cache
         hits = []
-        for i, m in enumerate(toks):
-            t = m[0]
+        for i, t in enumerate(words):
             c = cache.get(t)
             if c is None:
                 if len(cache) > 300_000:
@@ -233,10 +238,15 @@ class Finder:
                 c = cache[t] = self.kind(t)
             if c:
                 hits.append((i, c))
-        if not hits and not spans:
-            return []
+        if not hits:
+            return spans
+        toks, at = [], 0  # the words with their places
+        for t in words:
+            at = text.find(t, at)
+            toks.append((t, at))
+            at += len(t)
         for i, c in hits:
-            if c & _STREET and (m := _ADDRESS.match(text, toks[i].start() + (toks[i][0][0] in _EDGE_L))) and not _PARAGRAPH.search(m[0]):
+            if c & _STREET and (m := _ADDRESS.match(text, toks[i][1] + (toks[i][0][0] in _EDGE_L))) and not _PARAGRAPH.search(m[0]):
                 self.propose(spans, [("endereco", m.start(), m.end(), WEIGHTS["endereco"] + WEIGHTS["house"] * m[0][-1].isdigit())])
         for i, c in hits:
             if c & _NUMBER:
@@ -258,9 +268,11 @@ class Finder:
             spans.append((kind, start, end))
 
     def number(self, text, toks, i, spans) -> None:
-        start = toks[i].start()
+        start = toks[i][1]
         while text[start] in "\"'«[“‘" or text[start] == "(" and not re.match(r"\(0?\d{2}\)", text[start:]):
             start += 1
+        if not _LONG_NUMBER.match(text, start):
+            return  # too few figures for any form
         before = [fold(t[0].strip(_EDGE_L).rstrip(_EDGE_R)) for t in toks[max(0, i - 3) : i]]
         while before and re.fullmatch(r"n[ºo°.?║]*|numero|no|sob|o|a|e|de", before[-1]):
             before.pop()
@@ -270,7 +282,8 @@ class Finder:
         phone_context = last in PHONE_LABELS or pair == ("ligar", "para") or pair == ("assistente", "tecnico")
         other = last in OTHER_NUMBERS or len(before) > 1 and before[-2] in OTHER_NUMBERS and not labelled
         # what speaks against a personal number: labels of other numbers, check digits of other numbers
-        against = WEIGHTS["other"] * other + (WEIGHTS["another"] if (run := _RUN.match(text, start)) and another_number(run[0]) else 0.0)
+        run = _RUN.match(text, start)
+        against = WEIGHTS["other"] * other + (WEIGHTS["another"] if run and another_number(run[0]) else 0.0)
         label = WEIGHTS["label"]
         proposals = []
         if m := _CPF.match(text, start):
@@ -308,14 +321,14 @@ class Finder:
             if prev.rstrip(",.") in NOT_PERSON and not prev.endswith(","):
                 return
             announced = bool(i) and (prev.rstrip(_EDGE_R) in ANNOUNCE or i > 1 and (fold(toks[i - 2][0]), prev) in ANNOUNCE_TWO)
-        start = toks[first].start()
+        start = toks[first][1]
         while text[start] in _EDGE_L:
             start += 1
         end, j, n_words, family_last, known = start, first, 0, False, 0
         how = ""
         while j < len(toks) and n_words < NAME_WORDS:
             t = toks[j][0]
-            if j > first and _PARAGRAPH.search(text, toks[j - 1].end(), toks[j].start()):
+            if j > first and _PARAGRAPH.search(text, (toks[j - 1][1] + len(toks[j - 1][0])), toks[j][1]):
                 break
             body = t.lstrip(_EDGE_L) if j == first else t
             core = body.rstrip(_EDGE_R)
@@ -327,14 +340,14 @@ class Finder:
                     break
                 nxt = toks[j + 1][0].rstrip(_EDGE_R)
                 s = style(nxt)
-                if not nxt or s == "l" and not (how == "l" and self.family(nxt)) or s == "U" and how == "T" and len(nxt) > 2 and not self.family(nxt) or s == "T" and how != "T" or _PARAGRAPH.search(text, toks[j].end(), toks[j + 1].start()):
+                if not nxt or s == "l" and not (how == "l" and self.family(nxt)) or s == "U" and how == "T" and len(nxt) > 2 and not self.family(nxt) or s == "T" and how != "T" or _PARAGRAPH.search(text, (toks[j][1] + len(toks[j][0])), toks[j + 1][1]):
                     break
                 if s == "T" and not self.family(nxt) and not announced:
                     break
                 j += 1
                 continue
             if re.fullmatch(r"[A-ZÀ-Ý]\.", body):
-                end = toks[j].end()
+                end = (toks[j][1] + len(toks[j][0]))
                 n_words += 1
                 family_last = False
                 j += 1
@@ -349,18 +362,18 @@ class Finder:
                 break
             if not (fam or giv) and not (s in "TU" and (announced or j > first and n_words and self.shaped(core))):
                 break
-            if not (fam or giv) and "\n" in text[toks[j - 1].end() : toks[j].start()] and j > first and not announced:
+            if not (fam or giv) and "\n" in text[(toks[j - 1][1] + len(toks[j - 1][0])) : toks[j][1]] and j > first and not announced:
                 break
             known += fam or giv
             n_words += 1
             family_last = fam and j > first or not giv and j > first
-            end = toks[j].start() + (len(t) - len(body)) + len(core)
+            end = toks[j][1] + (len(t) - len(body)) + len(core)
             j += 1
             if core != body:
                 break
         inverted = first > 0 and (m := re.fullmatch(r"[(\"]?([^\W\d_]{4,}),", toks[first - 1][0])) and style(m[1]) == "U" and self.family(m[1]) and fold(m[1]) not in NOT_PERSON and not c & _INITIAL
         if inverted and n_words:
-            start = toks[first - 1].start() + (toks[first - 1][0][0] in "(\"")
+            start = toks[first - 1][1] + (toks[first - 1][0][0] in "(\"")
             family_last, n_words = True, n_words + 1
         score = 0.25 * bool(c & _GIVEN) + 0.2 * min(known, 3) + 0.3 * announced + 0.2 * family_last
         if n_words >= 2 and family_last and (known or announced and style(text[start:end]) != "l"):

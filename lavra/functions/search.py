@@ -32,18 +32,6 @@ class Expression:
             out = out | t if self.any_of else out & t
         return F.coalesce(out, F.lit(False))
 
-    def sql(self, column: str) -> str:
-        """The same test in SQL with RE2 patterns."""
-        parts = []
-        for t in self.terms:
-            c = column if t.exact else f"lower(strip_accents({column}))"
-            text = t.text if t.exact else _folded(t.text)
-            if "*" in text or "?" in text:
-                parts.append(f"regexp_matches({c}, '{wildcard(text)}')")
-            else:
-                parts.append(f"contains({c}, '{text}')")
-        return "coalesce(" + (" or " if self.any_of else " and ").join(parts) + ", false)"
-
 
 def _folded(s: str) -> str:
     import unicodedata
@@ -64,7 +52,7 @@ def parse(expression: str) -> Expression:
         t = raw.strip()
         if not t:
             continue
-        if len(t) >= 2 and t[0] == t[-1] == '"':
+        if len(t) >= 2 and t[0] == t[-1] and t[0] in "\"'":
             terms.append(Term(t[1:-1], True))
         elif t[0] == "!":
             terms.append(Term(t[1:], True))

@@ -29,8 +29,13 @@ def fold(c) -> Column:
 
 
 def match_key(c) -> Column:
-    """Lower case, without accents, only letters, figures, spaces and ``/ - .``."""
-    return collapse(F.regexp_replace(F.lower(fold(c)), r"[^a-z0-9 /.\-]", " "))
+    """Spaced letters joined, lower case, without accents, only letters, figures, spaces and ``/ - .``."""
+    return collapse(F.regexp_replace(F.lower(fold(unspaced(c))), r"[^a-z0-9 /.\-]", " "))
+
+
+def diff_key(c) -> Column:
+    """Lower case without accents, every character in its place."""
+    return F.lower(fold(c))
 
 
 def hash_key(c) -> Column:
@@ -54,11 +59,11 @@ def last_lines(c, n: int) -> Column:
 
 def spaced_punctuation(c) -> Column:
     """A space after ``, : ;`` and around brackets, and between letters and figures, where it is missing."""
-    c = F.regexp_replace(col(c), r"([,:;])(?=[^\s\d])", "$1 ")
+    c = F.regexp_replace(col(c), r"([,:;])(?=\S)", "$1 ")
+    c = F.regexp_replace(c, r"\)(?=\S)", ") ")
     c = F.regexp_replace(c, r"(?<=\S)\(", " (")
-    c = F.regexp_replace(c, r"\)(?=[\p{L}\p{N}])", ") ")
-    c = F.regexp_replace(c, r"(?<=\p{L})(?=\d)", " ")
-    return F.regexp_replace(c, r"(?<=\d)(?=\p{L}{2})", " ")
+    c = F.regexp_replace(c, r"(?<=[A-Za-zÀ-ÿ])(?=[0-9])", " ")
+    return collapse(F.regexp_replace(c, r"(?<=[0-9])(?=[A-Za-zÀ-ÿ])", " "))
 
 
 def undoubled(c) -> Column:
@@ -70,9 +75,14 @@ def undoubled(c) -> Column:
     return F.when(doubled, F.array_join(F.transform(pairs, lambda p: p["a"]), "")).otherwise(c)
 
 
+#: Single characters that are joined when one space stands between them.
+JOINED = r"[\p{L}\p{N}$/\-–.,ªº°]"
+
+
 def unspaced(c) -> Column:
-    """``P O D E R`` as PODER: single letters with one space between them, three or more in a row."""
-    return F.regexp_replace(F.regexp_replace(col(c), r"(?<![^\s])((?:[\p{L}\p{N}] ){2,}[\p{L}\p{N}])(?![^\s])", "\u0001$1\u0001"), r"(?<=\u0001[^\u0001]{0,400}) (?=[^\u0001]{0,400}\u0001)|\u0001", "")
+    """``P O D E R`` as PODER: single letters, figures or signs with exactly one space between them; other white space made single."""
+    c = F.regexp_replace(col(c), r"(?<![\S])(" + JOINED + r") (?=" + JOINED + r"(?!\S))", "$1\u0001")
+    return collapse(F.replace(c, F.lit("\u0001"), F.lit("")))
 
 
 def digits(c) -> Column:
@@ -109,14 +119,24 @@ def month_number(name) -> Column:
 
 
 def date_of(c) -> Column:
-    """A date in one of the layouts in use, the first that fits; impossible days give null."""
-    c = col(c)
-    short = F.regexp_extract(c, r"^([0-9]{1,2})[/.]([0-9]{1,2})[/.]([0-9]{2}|[0-9]{4})$", 3)
-    year = F.when(F.length(short) == 2, F.concat(F.lit("20"), short)).otherwise(short)
-    numeric = F.concat_ws("-", year, F.regexp_extract(c, r"^([0-9]{1,2})[/.]([0-9]{1,2})[/.]", 2), F.regexp_extract(c, r"^([0-9]{1,2})[/.]([0-9]{1,2})[/.]", 1))
-    words = r"^([0-9]{1,2})[º°]? de ([A-Za-zçÇ]+) de ([0-9]{4})$"
+    """A date as ``d/m/y`` or ``d-m-y``, the year of two or four figures (to 49 of this century), or with the month's name anywhere in the text.
+
+    Impossible days give null.
+    """
+    c = F.trim(col(c))
+    rx = r"^([0-9]{1,2})([/-])([0-9]{1,2})\2([0-9]{2}|[0-9]{4})$"
+    year = F.regexp_extract(c, rx, 4)
+    full = F.when(F.length(year) == 2, F.concat(F.when(year <= "49", "20").otherwise("19"), year)).otherwise(year)
+    numeric = F.concat_ws("-", full, F.regexp_extract(c, rx, 3), F.regexp_extract(c, rx, 1))
+    words = r"(?i)\b([0-9]{1,2})[º°]?\s+de\s+([A-Za-zçÇ]+)\s+de\s+([0-9]{4})\b"
     worded = F.concat_ws("-", F.regexp_extract(c, words, 3), month_number(F.regexp_extract(c, words, 2)).cast("string"), F.regexp_extract(c, words, 1))
-    return F.coalesce(F.when(short != "", F.try_to_date(numeric, "yyyy-M-d")), F.when(F.regexp_extract(c, words, 3) != "", F.try_to_date(worded, "yyyy-M-d")), F.try_to_date(c, "yyyy-MM-dd"))
+    return F.coalesce(F.when(year != "", F.try_to_date(numeric, "yyyy-M-d")), F.when(F.regexp_extract(c, words, 3) != "", F.try_to_date(worded, "yyyy-M-d")))
+
+
+def plausible_date(d, as_of) -> Column:
+    """A date from 1990 up to the end of the year after ``as_of``, else null."""
+    y = F.year(col(d))
+    return F.when(y.between(F.lit(1990), F.year(as_of) + 1), col(d))
 
 
 def title_case(c) -> Column:
@@ -149,6 +169,28 @@ def snippet(c, start, before: int = 110, after: int = 110) -> Column:
     return collapse(F.substr(c, low, start - low + after))
 
 
+def places(c, literal: str) -> Column:
+    """All places of a literal, from 1, that don't overlap."""
+    return _places(F.split(col(c), "\\Q" + literal + "\\E", -1), len(literal))
+
+
+def _places(parts: Column, size: int) -> Column:
+    """One pass over the parts between a literal: each ends where the literal stands."""
+    start = F.struct(F.lit(1).alias("at"), F.array().cast("array<int>").alias("found"))
+    step = lambda a, x: F.struct((a["at"] + F.length(x) + size).alias("at"), F.concat(a["found"], F.array(a["at"] + F.length(x))).alias("found"))
+    found = F.aggregate(parts, start, step, lambda a: a["found"])
+    return F.slice(found, 1, F.size(found) - 1)
+
+
+def document_references(c) -> Column:
+    """What a text calls other documents by: system numbers, processes, letters and annexes, each once."""
+    return F.array_distinct(F.flatten(F.array(*(F.regexp_extract_all(col(c), F.lit(f"({p})"), 1) for p in REFERENCES))))
+
+
+#: Patterns of references to documents: fixed values.
+REFERENCES = (r"SEI\s+\d{6}-\d{2}\.\d{4}\.\d\.\d{2}(?:\s*/\s*pg\.\s*\d+)?", r"Processo\s+n[º°]\s*[\d.-]+", r"Ofício\s+\d+\s+(?:\(\d+\))?", r"Anexo\s+\(\d+\)")
+
+
 def plain_html(c) -> Column:
     """Markup as spaces, the commonest entities as their characters."""
     c = F.regexp_replace(col(c), r"<[^>]*>", " ")
@@ -158,13 +200,18 @@ def plain_html(c) -> Column:
 
 
 ENTITIES = {"aacute": "á", "agrave": "à", "acirc": "â", "atilde": "ã", "eacute": "é", "ecirc": "ê", "iacute": "í", "oacute": "ó", "ocirc": "ô", "otilde": "õ", "uacute": "ú", "ccedil": "ç", "ordm": "º", "Aacute": "Á", "Atilde": "Ã", "Eacute": "É", "Oacute": "Ó", "Ocirc": "Ô", "Ccedil": "Ç"}
-STOP_WORDS = {"pt": ("não", "uma", "pelo", "para", "com"), "en": ("the", "and", "of", "was"), "es": ("el", "los", "del", "una", "por"), "fr": ("le", "les", "des", "est"), "de": ("der", "die", "und", "das")}
+#: Words by which a language is told: fixed values.
+STOP_WORDS = {
+    "English": ("the", "and", "of", "to", "in", "is", "are"),
+    "Português": ("de", "da", "do", "que", "para", "com", "em", "por"),
+    "Español": ("el", "la", "de", "que", "en", "es", "un", "una"),
+}
 
 
 def languages(c) -> Column:
-    """All languages of which a text holds a frequent word."""
-    low = F.concat(F.lit(" "), F.regexp_replace(F.lower(col(c)), r"[^\p{L}]+", " "), F.lit(" "))
-    found = [F.when(F.exists(F.array(*(F.lit(f" {w} ") for w in ws)), lambda w: F.contains(low, w)), F.lit(k)) for k, ws in sorted(STOP_WORDS.items())]
+    """All languages of which a text holds a frequent word, in the order of the table."""
+    low = F.concat(F.lit(" "), F.regexp_replace(F.lower(col(c)), r"[^\p{L}\p{N}_]+", " "), F.lit(" "))
+    found = [F.when(F.exists(F.array(*(F.lit(f" {w} ") for w in ws)), lambda w: F.contains(low, w)), F.lit(k)) for k, ws in STOP_WORDS.items()]
     return F.array_compact(F.array(*found))
 
 

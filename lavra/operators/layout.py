@@ -23,10 +23,13 @@ def band(y: Column | str, scheme: str = "coarse") -> Column:
 
 
 def distinct_words(words: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """Words printed twice at one place, to three decimals, kept once: the first in order."""
+    """Words printed twice at one place, to three decimals, kept once: the first in order.
+
+    Words are brought together by page once; lines and paragraphs made of the result need no other shuffle.
+    """
     at = [F.bround(c, 3) for c in ("x0", "y0", "x1", "y1")]
     w = Window.partitionBy(*keys, "text", *at).orderBy(order)
-    return words.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
+    return words.repartition(*keys).withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
 
 
 def chained_lines(words: DataFrame, keys: list[str], tolerance: float) -> DataFrame:
@@ -95,3 +98,121 @@ def align_value(words: DataFrame, values: DataFrame, keys: list[str]) -> DataFra
     met = tokens.withColumn("_w", clean(F.col("_w"))).join(words.withColumn("_w", clean(F.col("text"))), [*keys, "_w"]).withColumn("first_pos", F.col("pos") - F.col("_i"))
     whole = met.groupBy(*keys, "value", "_n", "first_pos").agg(F.count("*").alias("hit")).where("hit = _n")
     return whole.groupBy(*keys, "value").agg(F.min("first_pos").alias("first_pos"))
+
+
+def _line_words(words: DataFrame, keys: list[str], *more: str) -> DataFrame:
+    """A row for each line with its words from left to right, ``_w``, and the medians of their width a character, ``_char``."""
+    each = F.sort_array(F.collect_list(F.struct("x0", "x1", "text", *more)))
+    lines = words.groupBy(*keys, "line_no").agg(each.alias("_w"))
+    width = F.filter(F.transform("_w", lambda w: F.when(F.length(w["text"]) > 0, (w["x1"] - w["x0"]) / F.length(w["text"]))), lambda v: v > 0)
+    sorted_width, n = F.sort_array(width), F.size(width)
+    median = (F.get(sorted_width, ((n - 1) / 2).cast("int")) + F.get(sorted_width, (n / 2).cast("int"))) / 2
+    mean = F.aggregate("_w", F.lit(0.0), lambda a, w: a + (w["x1"] - w["x0"])) / F.size("_w")
+    singles = F.size(F.filter("_w", lambda w: F.length(F.trim(w["text"])) == 1)) / F.size("_w")
+    gaps = F.transform(F.sequence(F.lit(1), F.greatest(F.size("_w") - 1, F.lit(1))), lambda i: F.coalesce(F.get("_w", i)["x0"] - F.get("_w", i - 1)["x1"], F.lit(0.0)))
+    return lines.withColumns({"_char": F.when(n > 0, median).otherwise(mean), "_mean": mean, "_singles": singles, "_gaps": F.sort_array(F.filter(gaps, lambda g: g > 0))})
+
+
+def _text_with(spaces) -> Column:
+    """The words of a line one after another, with as many spaces before each as ``spaces(gap)`` says."""
+    start = F.struct(F.lit("").alias("t"), F.lit(None).cast("double").alias("x"))
+    step = lambda a, w: F.struct(F.concat(a["t"], F.when(a["x"].isNotNull(), F.repeat(F.lit(" "), spaces(w["x0"] - a["x"]).cast("int"))).otherwise(""), w["text"]).alias("t"), w["x1"].cast("double").alias("x"))
+    return F.aggregate("_w", start, step, lambda a: a["t"])
+
+
+def text_by_gap_ratio(words: DataFrame, keys: list[str]) -> DataFrame:
+    """Lines whose words are parted where the gaps, in order of size, grow most (by 1.6 or more).
+
+    Without such a leap the threshold is .8 of a character's median width, 2.2 where most words are single letters.
+    """
+    lines = _line_words(words, keys)
+    g = F.col("_gaps")
+    leaps = F.transform(F.sequence(F.lit(1), F.greatest(F.size(g) - 1, F.lit(1))), lambda i: F.struct((F.get(g, i) / F.get(g, i - 1)).alias("r"), (-i).alias("i"), ((F.get(g, i - 1) + F.get(g, i)) / 2).alias("m")))
+    top = F.array_max(F.filter(leaps, lambda x: x["r"].isNotNull()))
+    limit = F.when(top["r"] >= 1.6, top["m"]).otherwise(F.col("_char") * F.when(F.col("_singles") > 0.5, 2.2).otherwise(0.8))
+    lines = lines.withColumn("_limit", limit)
+    return lines.select(*keys, "line_no", F.trim(_text_with(lambda gap: F.when(gap > F.col("_limit"), 1).otherwise(0))).alias("text"))
+
+
+def text_by_metrics(words: DataFrame, keys: list[str]) -> DataFrame:
+    """Lines with as many spaces (1 to 40) as characters fit into a gap.
+
+    Where 60 % or more of the words are single letters, only gaps of four times the median gap (.02 to 1.2 characters) are spaces.
+    """
+    from lavra.functions.text import unspaced
+
+    lines = _line_words(words, keys)
+    char = F.when(F.col("_char") > 0, F.col("_char")).otherwise(1.0)
+    middle = F.get("_gaps", F.floor(F.size("_gaps") / 2).cast("int")) / char
+    spaced = (F.col("_singles") >= 0.6) & (F.size("_w") > 2) & (F.size("_gaps") > 0)
+    lines = lines.withColumn("_c", char).withColumn("_least", F.when(spaced, F.least(F.greatest(middle * 4, F.lit(0.02)), F.lit(1.2)) * char).otherwise(0.0))
+    spaces = lambda gap: F.when((gap > 0) & (gap >= F.col("_least")), F.least(F.greatest(F.bround(gap / F.col("_c"), 0), F.lit(1.0)), F.lit(40.0))).otherwise(0.0)
+    text = F.rtrim(_text_with(spaces))
+    return lines.withColumn("text", text).withColumn("text", F.when(F.col("_singles") >= 0.6, unspaced("text")).otherwise(F.col("text"))).where("text <> ''").select(*keys, "line_no", "text")
+
+
+def text_by_width(words: DataFrame, keys: list[str], factor: float = 0.6) -> DataFrame:
+    """Lines with a space for each ``factor`` of a word's mean width in a gap above a fifth of it, one at least."""
+    lines = _line_words(words, keys)
+    spaces = lambda gap: F.when(gap > F.col("_mean") * 0.2, F.greatest(F.lit(1), F.floor(gap / (F.col("_mean") * factor)))).otherwise(0)
+    return lines.select(*keys, "line_no", _text_with(spaces).alias("text"))
+
+
+#: Parts of a page that hold a template's fields: lower and upper edge.
+REGIONS = {"top": (0.55, 1.0), "bottom": (0.0, 0.45)}
+
+
+def regions(words: DataFrame, ranges: DataFrame, key: str, page: str = "page") -> DataFrame:
+    """Words of the regions of each range of pages, with ``region``: top of the first page, bottom of the last, second and last but one.
+
+    ``ranges``: key, ``doc_no, start_page, end_page``. A word belongs to a region it overlaps; a page can be in several.
+    """
+    s, e = F.col("start_page"), F.col("end_page")
+    places = F.array_compact(F.array(
+        F.struct(F.lit("first_top").alias("region"), s.alias("at"), F.lit("top").alias("part")), F.struct(F.lit("last_bottom").alias("region"), e.alias("at"), F.lit("bottom").alias("part")),
+        F.when(e - s >= 2, F.struct(F.lit("second_bottom").alias("region"), (s + 1).alias("at"), F.lit("bottom").alias("part"))),
+        F.when(e > s, F.struct(F.lit("last_bottom_prev").alias("region"), (e - 1).alias("at"), F.lit("bottom").alias("part"))),
+    ))
+    each = ranges.select(key, "doc_no", F.explode(places).alias("p")).select(key, "doc_no", "p.region", F.col("p.at").alias(page), "p.part")
+    inside = F.lit(False)
+    for part, (low, high) in REGIONS.items():
+        inside = inside | ((F.col("part") == part) & (F.col("y1") >= low) & (F.col("y0") <= high))
+    return words.join(each, [key, page]).where(inside).drop("part")
+
+
+def fill_percentage(lines: DataFrame, keys: list[str], page: str = "page") -> DataFrame:
+    """``keys, filled``: the letters and figures of a document as a percentage of what its lines, and the blank ones between them, could hold."""
+    from lavra.functions.clean import solid_chars
+
+    rows = lines.withColumn("_n", solid_chars("text")).where("_n > 0").withColumn("_h", F.greatest(F.col("y1") - F.col("y0"), F.lit(0.0))).withColumn("_wd", F.greatest(F.col("x1") - F.col("x0"), F.lit(0.0)))
+    p = Window.partitionBy(*keys, page)
+    rows = rows.withColumn("_below", F.lead("y1").over(p.orderBy(F.desc("y1"), "line_no")))
+    heights = F.sort_array(F.filter(F.collect_list("_h"), lambda h: h > 0))
+    a = rows.groupBy(*keys, page).agg(heights.alias("_hs"), F.collect_list(F.col("y0") - F.col("_below")).alias("_gaps"), F.sum("_n").alias("_chars"), F.count("*").alias("_lines"), F.max("_wd").alias("_widest"), F.avg(F.when(F.col("_wd") > 0, F.col("_wd") / F.col("_n"))).alias("_char"))
+    h = F.get("_hs", F.floor(F.size("_hs") / 2).cast("int"))
+    a = a.withColumn("_h", h)
+    blank = F.aggregate("_gaps", F.lit(0.0), lambda s, g: s + F.when(g > F.col("_h"), F.greatest(F.bround(g / F.col("_h"), 0) - 1, F.lit(0.0))).otherwise(0.0))
+    slots = F.col("_lines") + F.when(F.col("_h") > 0, blank).otherwise(0.0)
+    room = F.when((F.col("_char") > 0) & (F.col("_widest") > 0), F.col("_widest") / F.col("_char")).otherwise(0.0) * slots
+    return a.withColumn("_room", room).groupBy(*keys).agg(F.sum("_chars").alias("_c"), F.sum("_room").alias("_r")).select(*keys, F.when(F.col("_r") > 0, F.round(F.col("_c") * 100 / F.col("_r"), 4)).otherwise(0.0).alias("filled"))
+
+
+def density(words: DataFrame, keys: list[str], area: float = 1.0) -> DataFrame:
+    """``keys, density``: the area of a page's words over the page's."""
+    w = F.greatest((F.col("x1") - F.col("x0")) * (F.col("y1") - F.col("y0")), F.lit(0.0))
+    return words.groupBy(*keys).agg((F.sum(w) / max(area, 1.0)).alias("density"))
+
+
+def first_and_last(paragraphs: DataFrame, keys: list[str], page: str = "page") -> DataFrame:
+    """``keys, first_paragraph, last_paragraph`` by page and then from the top."""
+    at = F.struct(F.col(page), -F.col("y0"))
+    return paragraphs.groupBy(*keys).agg(F.min_by("text", at).alias("first_paragraph"), F.max_by("text", at).alias("last_paragraph"))
+
+
+def margin_text(lines: DataFrame, keys: list[str], share: float = 0.1) -> DataFrame:
+    """``keys, header, footer``: the lines in the top and bottom share of a page from the top; without any below, the last three that aren't blank."""
+    y, low = F.col("y0"), lambda cond: F.array_join(F.transform(F.sort_array(F.collect_list(F.when(cond & (F.trim("text") != ""), F.struct((-F.col("y0")).alias("y"), "line_no", "text")))), lambda s: s["text"]), "\n")
+    all_lines = F.transform(F.sort_array(F.collect_list(F.when(F.trim("text") != "", F.struct((-F.col("y0")).alias("y"), "line_no", "text")))), lambda s: s["text"])
+    last = F.array_join(F.slice(all_lines, F.greatest(F.size(all_lines) - 2, F.lit(1)), 3), "\n")
+    a = lines.groupBy(*keys).agg(low(y >= 1 - share).alias("header"), low(y <= share).alias("_f"), last.alias("_last"))
+    return a.select(*keys, "header", F.when(F.col("_f") != "", F.col("_f")).otherwise(F.col("_last")).alias("footer"))

@@ -28,9 +28,9 @@ def gaps(rows: DataFrame, keys: list[str], number: str) -> DataFrame:
 
 
 def density_change(count: Column, before: Column) -> Column:
-    """How much the number of words breaks: .8 from 300 or more down to under 100, else the relative change if above .6."""
-    change = F.abs(count - before) / F.greatest(count, before)
-    return F.when(before.isNull() | (F.greatest(count, before) == 0), 0.0).when((before >= 300) & (count < 100), 0.8).when(change > 0.6, change).otherwise(0.0)
+    """How much the number of words breaks: .8 from over 300 down to under 100, else the change in shares of ``before`` if above .6."""
+    change = F.abs(count - before) / before
+    return F.when(before.isNull() | (before == 0), 0.0).when((before > 300) & (count < 100), 0.8).when(change > 0.6, change).otherwise(0.0)
 
 
 def set_change(a: Column, b: Column, least: float = 0.7) -> Column:
@@ -41,23 +41,23 @@ def set_change(a: Column, b: Column, least: float = 0.7) -> Column:
 
 
 def neighbourhood(count: str, window, reach: int = 3, ratio: float = 0.3) -> Column:
-    """The mean of half a point for each neighbour whose count differs by more than ``ratio``; neighbours without count don't vote."""
+    """The mean of half a point for each neighbour whose count differs by more than ``ratio``; pages without words have no vote and get none."""
     total, n = F.lit(0.0), F.lit(0)
     c = F.col(count)
     for k in range(-reach, reach + 1):
         if k:
             x = F.lag(count, -k).over(window) if k < 0 else F.lead(count, k).over(window)
-            counts = (F.greatest(x, c) > 0) & x.isNotNull()
+            counts = F.coalesce((x > 0) & (c > 0), F.lit(False))
             total = total + F.when(counts & (F.least(x, c) / F.greatest(x, c) < ratio), 0.5).otherwise(0.0)
             n = n + F.when(counts, 1).otherwise(0)
     return F.when(n > 0, total / n).otherwise(0.0)
 
 
-def boundary_machine(pages: DataFrame, keys: list[str], order: list[str], start: str, end: str, score: str) -> DataFrame:
+def boundary_machine(pages: DataFrame, keys: list[str], order: list[str], start: str, end: str, start_score: str, end_score: str) -> DataFrame:
     """Documents from start and end flags: a start closes what is open, an end that is no start closes and is included.
 
     Pages after an end and before a start belong to none. Gives ``keys, doc_no, first_page, last_page, pages, confidence``
-    where ``page_no`` numbers the pages of a key; the confidence is the mean score of the first page and, if it closed, the end.
+    where ``page_no`` numbers the pages of a key; the confidence is the start's score, or its mean with the end's if one closed.
     """
     w = Window.partitionBy(*keys).orderBy(*order)
     numbered = pages.withColumn("page_no", F.row_number().over(w)).withColumn("doc_no", F.sum(F.col(start).cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0))).where("doc_no > 0")
@@ -65,7 +65,7 @@ def boundary_machine(pages: DataFrame, keys: list[str], order: list[str], start:
     closes = F.col(end) & ~F.col(start)
     stop = F.min(F.when(closes, F.col("page_no"))).over(inner)
     kept = numbered.withColumn("_stop", stop).where(F.col("_stop").isNull() | (F.col("page_no") <= F.col("_stop")))
-    value = F.when(F.col(start) | (F.col("page_no") == F.col("_stop")), F.col(score))
+    value = F.when(F.col("page_no") == F.col("_stop"), F.col(end_score)).when(F.col(start), F.col(start_score))
     return kept.groupBy(*keys, "doc_no").agg(F.min("page_no").alias("first_page"), F.max("page_no").alias("last_page"), F.count("*").alias("pages"), F.round(F.avg(value), 6).alias("confidence"))
 
 

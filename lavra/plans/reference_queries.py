@@ -22,7 +22,7 @@ RULES = [
     rules.Rule("urgent", "prejudicado", 0.4, "keyword", value="sim", kind="keyword"),
 ]
 REQUIRED = ["amount", "cpf", "email", "date"]
-EXPRESSIONS = {"any": "honorarios|leiloeiro|custas", "all": "perito&vistoria", "exact": '"Núcleo de Peritos"', "wild": "dilacao*prazo", "bang": "!CPF"}
+EXPRESSIONS = {"any": "honorarios|leiloeiro|custas", "all": "perito&vistoria", "exact": '"Núcleo de Peritos"', "wild": "dilacao*prazo", "bang": "!CPF", "quoted": "'Perícia'"}
 
 
 def _pages(s, d):
@@ -74,7 +74,7 @@ def money_round_trip(s, d):
 
 
 def date_parse(s, d):
-    rx = r"([0-9]{1,2}[/.][0-9]{1,2}[/.](?:[0-9]{4}|[0-9]{2})\b|[0-9]{1,2} de [a-zç]+ de [0-9]{4})"
+    rx = r"([0-9]{1,2}[/.-][0-9]{1,2}[/.-](?:[0-9]{4}|[0-9]{2})\b|[0-9]{1,2} de [a-zç]+ de [0-9]{4})"
     x = _pages(s, d).select("page_id", F.explode(F.regexp_extract_all("text", F.lit(rx), 1)).alias("shown"))
     return x.withColumn("date", T.date_of("shown")).groupBy(F.year("date").alias("year")).agg(F.count("*").alias("n"), F.min("date").cast("string").alias("first_date"), F.max("date").cast("string").alias("last_date"))
 
@@ -98,8 +98,10 @@ def token_statistics(s, d):
 
 
 def references(s, d):
-    rx = r"(?:fls\. [0-9]+/[0-9]+|art\. [0-9]+|item [0-9]+\.[0-9]+)"
-    return _pages(s, d).where("text is not null").select("page_id", F.array_join(F.array_sort(F.array_distinct(F.regexp_extract_all("text", F.lit(f"({rx})"), 1))), ";").alias("refs")).where("refs <> ''")
+    """The pages' texts, each with some references added, since the tables hold none in these forms."""
+    more = F.concat(F.lit(" SEI "), F.lpad(F.col("page_id").cast("string"), 6, "0"), F.lit("-12.2024.8.15 / pg. "), F.coalesce("page_number", F.lit(0)), F.lit(" Processo nº 12.3-4, Ofício 7 ("), F.col("page_id") % 5, F.lit(") Anexo ("), F.col("page_id") % 3, F.lit(") Anexo (1)"))
+    p = _pages(s, d).where("text is not null").select("page_id", F.concat("text", more).alias("text"))
+    return p.select("page_id", F.array_join(F.array_sort(T.document_references("text")), ";").alias("refs")).where("refs <> ''")
 
 
 def search_expression(s, d):
@@ -124,9 +126,11 @@ def page_query(s, d):
 
 
 def page_type(s, d):
+    """Each of the three fields is taken for a page of its own, so that short pages occur; every third holds an image."""
     images = (F.col("page_id") % 3 == 0).cast("int")
-    p = _pages(s, d).select("page_id", F.coalesce(F.length("text"), F.lit(0)).alias("chars"), images.alias("images"))
-    return p.select("page_id", readers.page_kind("chars", "images").alias("kind"), readers.text_coverage("chars").alias("coverage"))
+    each = F.explode(F.array(*(F.struct(F.lit(f).alias("field"), F.col(f).alias("body")) for f in ("text", "header", "footer"))))
+    p = _pages(s, d).select("page_id", images.alias("images"), each.alias("e")).select("page_id", "e.field", "images", F.length(F.regexp_replace(F.coalesce("e.body", F.lit("")), r"^\s+|\s+$", "")).alias("chars"))
+    return p.select("page_id", "field", readers.page_kind("chars", "images").alias("kind"), F.round(readers.text_coverage("chars"), 2).alias("coverage"))
 
 
 def page_type_summary(s, d):
@@ -149,11 +153,15 @@ def page_islands(s, d):
     return segments.islands(_pages(s, d).where("document_id is not null and page_number is not null"), ["document_id"], "page_number")
 
 
+def _font_list():
+    return F.when(F.coalesce("fonts", F.lit("")) == "", F.array().cast("array<string>")).otherwise(F.split("fonts", ";"))
+
+
 def _features(s, d):
-    w = Window.partitionBy("document_id").orderBy("n")
-    fonts = F.when(F.coalesce("fonts", F.lit("")) == "", F.array().cast("array<string>")).otherwise(F.split("fonts", ";"))
-    p = _numbered(s, d).withColumn("f", fonts).withColumn("c", F.coalesce("word_count", F.lit(0)))
-    return p.select("document_id", "page_id", "n", "c", segments.density_change(F.col("c"), F.lag("c").over(w)).alias("density"), segments.set_change(F.col("f"), F.lag("f").over(w)).alias("fonts_change"), segments.neighbourhood("c", w).alias("neighbours"))
+    w = Window.partitionBy("document_id").orderBy("page_number", "page_id")
+    ends = F.coalesce(F.contains("text", F.lit("relatório")), F.lit(False))
+    p = _pages(s, d).where("document_id is not null and page_number is not null").select("document_id", "page_id", "page_number", _font_list().alias("f"), F.coalesce("word_count", F.lit(0)).alias("c"), ends.alias("is_end"))
+    return p.select("document_id", "page_id", F.row_number().over(w).alias("n"), "is_end", "c", segments.density_change(F.col("c"), F.lag("c").over(w)).alias("density"), segments.set_change(F.col("f"), F.lag("f").over(w)).alias("fonts_change"), segments.neighbourhood("c", w).alias("neighbours"))
 
 
 def page_features(s, d):
@@ -161,13 +169,12 @@ def page_features(s, d):
 
 
 def _flags(s, d):
-    f = _features(s, d).join(_pages(s, d).select("page_id", "text"), "page_id")
     start = (F.col("n") == 1) | (F.col("density") + F.col("fonts_change") >= 1.0)
-    return f.select("document_id", "n", "page_id", start.alias("is_start"), F.coalesce(F.contains("text", F.lit("relatório")) , F.lit(False)).alias("is_end"), (F.lit(0.5) + F.col("neighbours")).alias("score"))
+    return _features(s, d).select("document_id", "n", "page_id", start.alias("is_start"), "is_end", (F.lit(0.5) + F.col("neighbours")).alias("start_score"), (F.lit(0.4) + F.col("fonts_change") / 2).alias("end_score"))
 
 
 def boundary_machine(s, d):
-    return segments.boundary_machine(_flags(s, d), ["document_id"], ["n"], "is_start", "is_end", "score").withColumn("doc_no", F.col("doc_no").cast("int"))
+    return segments.boundary_machine(_flags(s, d), ["document_id"], ["n"], "is_start", "is_end", "start_score", "end_score").withColumn("doc_no", F.col("doc_no").cast("int"))
 
 
 def interval_overlap(s, d):
@@ -214,15 +221,16 @@ def coverage_report(s, d):
 
 
 def merged_candidates(s, d):
-    c = _candidates(s, d).where("field in ('email', 'amount')")
+    c = _candidates(s, d)
     a = c.where("page_id % 2 = 0").groupBy("document_id", "field", "value").agg(F.min("page_id").alias("ord"))
     b = c.where("page_id % 2 = 1").groupBy("document_id", "field", "value").agg(F.min("page_id").alias("ord"))
     return rules.merged([a, b], ["document_id"]).groupBy("document_id", "field").agg(F.count("*").alias("n"), F.count_if(F.col("list_no") == 0).alias("from_first"))
 
 
 def context_snippets(s, d):
-    at = F.instr("text", "CPF")
-    return _pages(s, d).where(at > 0).select("page_id", F.sha1(F.substr("text", F.greatest(at - 20, F.lit(1)), F.lit(40))).alias("around"))
+    """Around every place of the word in a page."""
+    places = T.places("text", "CPF")
+    return _pages(s, d).where("text is not null").select("page_id", "text", F.posexplode(places).alias("nth", "at")).select("page_id", "nth", F.sha1(T.snippet("text", "at", 20, 20)).alias("around"))
 
 
 def template_fields(s, d):
@@ -280,9 +288,10 @@ def process_aggregate(s, d):
 
 
 def process_payload(s, d):
-    rows = _pages(s, d).where("process is not null").select("process", "page_id")
-    p = sinks.payload(rows, "process")
-    return p.select("process", F.length("payload").alias("chars"), F.sha1("payload").alias("sha1"))
+    """Whole pages of each process as JSON, in parts of up to a thousand page numbers, so that no process grows one row without bound."""
+    rows = _pages(s, d).where("process is not null").select("process", "page_id", "document_id", "page_number", "source", "text", "header", "footer", "page_type", "fonts", "word_count")
+    p = sinks.payload(rows, ["process"], by=F.floor(F.col("page_id") / 1000))
+    return p.select("process", "part", F.length("payload").alias("chars"), F.sha1("payload").alias("sha1"))
 
 
 def metadata_presence(s, d):
@@ -326,7 +335,10 @@ def prefer_surer(s, d):
 
 def upsert_merge(s, d):
     old = table(s, d, "processes").select("process", "comarca", "sei")
-    new = _pages(s, d).where("process is not null").groupBy("process").agg(F.min("source").alias("comarca"), F.lit(None).cast("string").alias("sei")).where("process < '0000002'")
+    new = _pages(s, d).where("process is not null").groupBy("process").agg(F.min("source").alias("comarca"), F.lit(None).cast("string").alias("sei"))
+    # processes that only the evidence names are new
+    found = table(s, d, "laudos_sem_especie_evidencias").where("process is not null").groupBy("process").agg(F.lit("evidencia").alias("comarca"), F.min("documento").alias("sei"))
+    new = new.unionByName(found.join(new, "process", "left_anti")).unionByName(s.createDataFrame([("novo-1", "x", None), ("novo-2", None, "y")], new.schema))
     return resolve.upsert(old, new, "process")
 
 
@@ -393,5 +405,4 @@ def queries() -> dict:
 
 def oracle_sql() -> dict:
     names = {f.__name__ for f in QUERIES}
-    expressions = ", ".join(f"{search.parse(e).sql('text')} as \"{k}\"" for k, e in EXPRESSIONS.items())
-    return {k: v for k, v in ORACLE.items() if k in names} | {"search_expression": f"select page_id, {expressions} from pages"}
+    return {k: v for k, v in ORACLE.items() if k in names}

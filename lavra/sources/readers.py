@@ -125,15 +125,18 @@ def raw_page(rows: DataFrame, name_like: str, order: str, limit: int, offset: in
 
 
 def page_kind(chars: str | Column, images: str | Column) -> Column:
-    """Empty, Text, ScannedImage or Mixed from characters and images; 50 characters with an image are Mixed."""
+    """Empty, Text, ScannedImage or Mixed from the characters of the trimmed text and the images.
+
+    Up to 50 characters are a scan, with an image or without; only pages with neither are empty.
+    """
     c = F.col(chars) if isinstance(chars, str) else chars
     i = F.col(images) if isinstance(images, str) else images
-    return F.when((c == 0) & (i == 0), "Empty").when((c < 50) & (i > 0), "ScannedImage").when(i > 0, "Mixed").otherwise("Text")
+    return F.when((c == 0) & (i == 0), "Empty").when(c <= 50, "ScannedImage").when(i > 0, "Mixed").otherwise("Text")
 
 
 def text_coverage(chars: str | Column) -> Column:
     c = F.col(chars) if isinstance(chars, str) else chars
-    return F.round(F.least(F.lit(100.0), c / 2000 * 100), 2)
+    return F.least(F.lit(100.0), c / 2000 * 100)
 
 
 def rebuilt(pages: DataFrame, documents: DataFrame, **children: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lavra.functions.text import without_controls
@@ -39,10 +39,14 @@ def write(df: DataFrame, path: str, form: str = "json", by: list[str] | None = N
         w.json(path)
 
 
-def payload(rows: DataFrame, key: str) -> DataFrame:
-    """``key, payload``: the rows of each key as one JSON array, in order of their columns."""
-    columns = [c for c in rows.columns if c != key]
-    return rows.groupBy(key).agg(F.to_json(F.sort_array(F.collect_list(F.struct(*columns)))).alias("payload"))
+def payload(rows: DataFrame, keys: list[str], by: Column | None = None) -> DataFrame:
+    """``keys, part, payload``: the rows of each key as JSON arrays, in order of their columns, nulls included.
+
+    ``by`` splits a key into parts; without it a key is one part and one row, whatever its size.
+    """
+    columns = [c for c in rows.columns if c not in keys]
+    parts = rows.withColumn("part", F.lit(0).cast("long") if by is None else by.cast("long"))
+    return parts.groupBy(*keys, "part").agg(F.to_json(F.sort_array(F.collect_list(F.struct(*columns))), {"ignoreNullFields": "false"}).alias("payload"))
 
 
 def merge_into(spark, path: str, new: DataFrame, key: str, keep_old: bool = False) -> None:

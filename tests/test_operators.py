@@ -10,9 +10,9 @@ from lavra.sources import readers, sinks
 
 def test_boundary_machine(spark):
     flags = [(1, 1, True, False, 0.9), (1, 2, False, False, 0.1), (1, 3, False, True, 0.5), (1, 4, False, False, 0.1), (1, 5, True, True, 0.7), (1, 6, False, False, 0.2), (2, 1, False, False, 0.1)]
-    df = spark.createDataFrame(flags, "k int, n int, s boolean, e boolean, score double")
-    got = {(r.doc_no, r.first_page, r.last_page, r.confidence) for r in segments.boundary_machine(df, ["k"], ["n"], "s", "e", "score").collect()}
-    assert got == {(1, 1, 3, 0.7), (2, 5, 6, 0.7)}  # page 4 belongs to none; an end that is a start doesn't close
+    df = spark.createDataFrame(flags, "k int, n int, s boolean, e boolean, score double").withColumn("end", F.col("score") + 0.2)
+    got = {(r.doc_no, r.first_page, r.last_page, r.confidence) for r in segments.boundary_machine(df, ["k"], ["n"], "s", "e", "score", "end").collect()}
+    assert got == {(1, 1, 3, 0.8), (2, 5, 6, 0.7)}  # page 4 belongs to none; an end that is a start doesn't close
 
 
 def test_ranges_and_gaps(spark):
@@ -158,4 +158,4 @@ def test_sinks(spark, tmp_path):
     sinks.merge_into(spark, path, df, "k")
     sinks.merge_into(spark, path, df.withColumn("n", F.lit(2)), "k")
     assert [tuple(r) for r in spark.read.parquet(path).select("k", "n").collect()] == [("p", 2)]
-    assert sinks.payload(df.select("k", "n"), "k").first()["payload"] == '[{"n":1}]'
+    assert sinks.payload(df.select("k", "n"), ["k"]).first()["payload"] == '[{"n":1}]'

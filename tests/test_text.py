@@ -24,7 +24,7 @@ def test_money_round_trip(spark):
 
 @pytest.mark.parametrize(
     "text, want",
-    [("22 de março de 2024", "2024-03-22"), ("1º de marco de 2024", "2024-03-01"), ("05/03/24", "2024-03-05"), ("5.3.2024", "2024-03-05"), ("31/02/2024", None), ("2024-12-01", "2024-12-01"), ("", None), (None, None)],
+    [("22 de março de 2024", "2024-03-22"), ("1º de marco de 2024", "2024-03-01"), ("05/03/24", "2024-03-05"), ("05-03-2024", "2024-03-05"), ("5-3-75", "1975-03-05"), ("5/3-24", None), ("5.3.2024", None), ("31/02/2024", None), ("2024-12-01", None), ("em 2 de maio de 2021, às", "2021-05-02"), ("", None), (None, None)],
 )
 def test_dates(spark, text, want):
     got = one(spark, text, T.date_of("x"))
@@ -37,10 +37,11 @@ def test_undoubled(spark, text, want):
 
 
 def test_unspaced(spark):
-    assert one(spark, "o P O D E R é a b", T.unspaced("x")) == "o PODER é a b" or one(spark, "P O D E R judicial", T.unspaced("x")) == "PODER judicial"
+    for text, want in (("P O D E R judicial", "PODER judicial"), ("o P O  D E\nR é a b x1", "oPO DE Réab x1"), ("R $ 1 , 5 0 n º", "R$1,50nº"), ("ab c d ef", "ab cd ef"), ("", ""), (" a ", "a"), ("x " * 3000, "x" * 3000)):
+        assert one(spark, text, T.unspaced("x")) == want
 
 
-@pytest.mark.parametrize("text, want", [("a,b (c)d", "a, b (c) d"), ("R$ 1,50", "R$ 1,50"), ("abc12", "abc 12")])
+@pytest.mark.parametrize("text, want", [("a,b (c)d", "a, b (c) d"), ("R$ 1,50", "R$ 1, 50"), ("a1b(c", "a 1 b (c"), ("abc12", "abc 12")])
 def test_spaced_punctuation(spark, text, want):
     assert one(spark, text, T.spaced_punctuation("x")) == want
 
@@ -66,7 +67,7 @@ def test_simple_functions(spark):
     "expression, text, want",
     [
         ("a|b&c", "b&c", True), ("pericia&laudo", "Perícia e LAUDO", True), ('"Perícia"', "perícia", False), ("!Perícia", "Perícia", True), ("~PERÍCIA~", "pericia", True),
-        ("per*cia", "a perícia", True), ("p?rito", "perito", True), ("dois termos", "Dois termos", False), ("x", None, False),
+        ("per*cia", "a perícia", True), ("p?rito", "perito", True), ("dois termos", "Dois termos", False), ("x", None, False), ("'Perícia'", "perícia", False), ("'Perícia'", "a Perícia", True),
     ],
 )
 def test_search(spark, expression, text, want):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("reference_queries",)
+MODULES = ("reference_queries", "document_queries")
 
 
 def _all(name: str) -> dict:

@@ -9,8 +9,8 @@ from lavra.functions.text import WHITE, col, collapse, fold, match_key, unspaced
 
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 #: Words of the headings that a value runs into: fixed values.
-AFTER_COURT = r"(?i)\b(comarca|processo|assunto|refer[êe]ncia|interessad[oa])\b"
-AFTER_DISTRICT = r"(?i)\b(assunto|processo|referência|referencia|parte|interessad[oa])\b"
+AFTER_COURT = r"(?iu)\b(comarca|processo|assunto|refer[êe]ncia|interessad[oa])\b"
+AFTER_DISTRICT = r"(?iu)\b(assunto|processo|referência|referencia|parte|interessad[oa])\b"
 #: Keyword of a specialty, then the kind of examination: fixed values, the first that fits counts.
 SPECIES = (
     ("medic", "medica"), ("grafotec", "grafotecnica"), ("contab", "contabil"), ("engenh", "engenharia"), ("psicol", "psicologica"), ("odontol", "odontologica"),
@@ -38,7 +38,7 @@ def titled(c) -> Column:
     """White space made single, a capital at the start of every run of letters, the others small."""
     c = F.lower(collapse(c))
     words = F.regexp_extract_all(c, F.lit(r"([\p{L}\p{M}']+|[^\p{L}\p{M}']+)"), 1)
-    return F.array_join(F.transform(words, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.substr(w, F.lit(2)))), "")
+    return F.array_join(F.transform(words, lambda w: F.when(F.substring(w, 1, 1) == "ß", w).otherwise(F.concat(F.upper(F.substring(w, 1, 1)), F.substr(w, F.lit(2))))), "")
 
 
 def money_plain(c) -> Column:
@@ -46,7 +46,7 @@ def money_plain(c) -> Column:
     t = F.trim(col(c))
     usual = F.regexp_extract(t, r"[0-9][0-9.]*,[0-9]{2}", 0)
     a = F.replace(F.replace(usual, F.lit("."), F.lit("")), F.lit(","), F.lit(".")).try_cast("decimal(18,2)")
-    plain = F.replace(F.replace(F.regexp_replace(F.regexp_replace(t, r"(?i)R\$", ""), " ", ""), F.lit("."), F.lit("")), F.lit(","), F.lit("."))
+    plain = F.replace(F.replace(F.regexp_replace(F.regexp_replace(t, r"(?iu)R\$", ""), " ", ""), F.lit("."), F.lit("")), F.lit(","), F.lit("."))
     b = F.when(plain.rlike(r"^[+-]?[0-9]+(\.[0-9]*)?$"), plain.try_cast("decimal(18,4)"))
     b = F.when(~t.rlike("[.,]") & (b > 1000), b / 100).otherwise(b)
     b = F.when((b > 1000) & t.rlike(r"^[0-9]{4,6}\.00$"), b / 100).otherwise(b)
@@ -67,14 +67,14 @@ def date_text(d) -> Column:
 
 def district(c) -> Column:
     """The name of a judicial district: label and what follows a heading cut off, spaced letters joined, capitals set."""
-    v = F.regexp_replace(F.coalesce(col(c), F.lit("")), "(?i)Comarca de", "")
+    v = F.regexp_replace(F.coalesce(col(c), F.lit("")), "(?iu)Comarca de", "")
     v = F.regexp_replace(F.get(F.split(v, AFTER_DISTRICT, 2), F.lit(0)), rf"\b([{LETTERS}])\s+(?=[{LETTERS}]\b)", "$1")
     return titled(_cut_end(v))
 
 
 def court(c) -> Column:
     """The name of a court section: its label and what follows a heading cut off, capitals set."""
-    v = F.regexp_replace(F.coalesce(col(c), F.lit("")), r"(?i)\bju[ií]zo\s+da\s+|\bju[ií]zo\s+do\s+|\bvara\s+", "")
+    v = F.regexp_replace(F.coalesce(col(c), F.lit("")), r"(?iu)\bju[ií]zo\s+da\s+|\bju[ií]zo\s+do\s+|\bvara\s+", "")
     return titled(_cut_end(F.get(F.split(v, AFTER_COURT, 2), F.lit(0))))
 
 
@@ -93,15 +93,15 @@ def without_specialty(c) -> Column:
 
 def trimmed_person(c) -> Column:
     """An expert's name or trade without what follows it (numbers, contacts) and without titles."""
-    v = F.get(F.split(col(c), "(?i)(CPF|PIS|PASEP|INSS|CBO|NASCID|EMAIL|E-MAIL|FONE|TEL)", 2), F.lit(0))
-    v = F.regexp_replace(v, r"(?i)^(perit[oa]|dr\.?|dra\.?|doutor(?:a)?|sr\.?|sra\.?)\s+", "")
-    return collapse(F.regexp_replace(v, r"(?i)\s*[-–]\s*perit[oa].*$", ""))
+    v = F.get(F.split(col(c), "(?iu)(CPF|PIS|PASEP|INSS|CBO|NASCID|EMAIL|E-MAIL|FONE|TEL)", 2), F.lit(0))
+    v = F.regexp_replace(v, r"(?iu)^(perit[oa]|dr\.?|dra\.?|doutor(?:a)?|sr\.?|sra\.?)\s+", "")
+    return collapse(F.regexp_replace(v, r"(?iu)\s*[-–]\s*perit[oa].*$", ""))
 
 
 def trimmed_party(c) -> Column:
     """A party's name or court without the phrases that lead to or from it."""
-    v = F.regexp_replace(col(c), r"(?i)perante o ju[ií]zo\s+de\s+", "")
-    return collapse(F.regexp_replace(v, r"(?i)nos autos\s+do\s+processo.*", ""))
+    v = F.regexp_replace(col(c), r"(?iu)perante o ju[ií]zo\s+de\s+", "")
+    return collapse(F.regexp_replace(v, r"(?iu)nos autos\s+do\s+processo.*", ""))
 
 
 def short_specialty(c) -> Column:
@@ -110,7 +110,7 @@ def short_specialty(c) -> Column:
 
 def respaced_name(c) -> Column:
     """A name whose spaces were lost: particles between letters and capitals inside words get them back."""
-    v = F.regexp_replace(F.trim(col(c)), r"(?i)(?<=\p{L})(de|da|do|dos|das)(?=\p{L})", " $1 ")
+    v = F.regexp_replace(F.trim(col(c)), r"(?iu)(?<=\p{L})(de|da|do|dos|das)(?=\p{L})", " $1 ")
     return collapse(F.regexp_replace(v, "(?<=[a-zà-ÿ])(?=[A-ZÁÀÂÃÉÊÍÓÚÇ])", " "))
 
 
@@ -131,8 +131,8 @@ def bookmark_title(c) -> Column:
     """A title without underscores, code in brackets, leading number, system suffix and number at the end (if three characters stay)."""
     t = collapse(F.replace(F.coalesce(col(c), F.lit("")), F.lit("_"), F.lit(" ")))
     t = F.trim(F.regexp_replace(t, r"\([0-9A-Za-z]{4,}\)$", ""))
-    t = F.regexp_replace(F.regexp_replace(t, r"^[0-9]+\s*-\s*", ""), r"(?i)\s*-\s*SEI.*$", "")
-    short = F.trim(F.regexp_replace(t, r"(?i)\s*[-–]?\s*(n[º°o]?|no)?\s*[0-9]{1,8}(?:[./-][0-9]+)?\s*$", ""))
+    t = F.regexp_replace(F.regexp_replace(t, r"^[0-9]+\s*-\s*", ""), r"(?iu)\s*-\s*SEI.*$", "")
+    short = F.trim(F.regexp_replace(t, r"(?iu)\s*[-–]?\s*(n[º°o]?|no)?\s*[0-9]{1,8}(?:[./-][0-9]+)?\s*$", ""))
     return F.trim(F.when(F.length(short) >= 3, short).otherwise(t))
 
 
@@ -161,7 +161,7 @@ def cut_at(c, words) -> Column:
 def party_name(c) -> Column:
     """A party's name: spaced letters joined; numbers, what follows document labels or the court, and signs left out."""
     v = unspaced(c)
-    for rx in (r"(?i)\b(CPF|CNPJ)\b.*$", r"(?i)\bperante\b.*$", r"(?i)\bju[ií]zo\b.*$"):
+    for rx in (r"(?iu)\b(CPF|CNPJ)\b.*$", r"(?iu)\bperante\b.*$", r"(?iu)\bju[ií]zo\b.*$"):
         v = F.regexp_replace(v, rx, "")
     v = F.regexp_replace(F.regexp_replace(v, "[0-9]+", ""), r"[^A-Za-zÁÂÃÀÉÊÍÓÔÕÚÇáâãàéêíóôõúç\s'\-]+", " ")
     return collapse(F.regexp_replace(F.trim(v), "^[,;–-]+|[,;–-]+$", ""))
@@ -169,7 +169,7 @@ def party_name(c) -> Column:
 
 def person_name(c) -> Column:
     """A person's name without the word for expert, with spaces at capitals inside words."""
-    v = F.regexp_replace(unspaced(c), r"(?i)\bperit[oa]\b", "")
+    v = F.regexp_replace(unspaced(c), r"(?iu)\bperit[oa]\b", "")
     v = F.regexp_replace(v, r"[^A-Za-zÁÂÃÀÉÊÍÓÔÕÚÇáâãàéêíóôõúç\s'-]+", " ")
     return collapse(F.regexp_replace(v, "(?<=[a-záâãàéêíóôõúç])(?=[A-ZÁÂÃÀÉÊÍÓÔÕÚÇ])", " "))
 
@@ -279,9 +279,9 @@ def noisy(field, value) -> Column:
     v, f = F.trim(col(value)), F.upper(F.trim(F.coalesce(col(field), F.lit(""))))
     count = F.size(F.filter(F.split(v, " "), lambda w: w != ""))
     out = (F.length(v) > 140) | ((count > 12) & f.isin("VARA", "COMARCA", "ESPECIALIDADE", "PERITO"))
-    out = out | (v.rlike(r"(?i)R\$") & ~f.isin(*MONEY_FIELDS)) | v.rlike(r"(?i)documento\s+assinado|verificador|crc|autentica|sei") | v.rlike("[0-9]{2}/[0-9]{2}/[0-9]{4}")
-    out = out | (f.isin("VARA", "COMARCA") & v.rlike("(?i)interessad[oa]|promovente|promovido")) | ((f == "VARA") & v.rlike(r"(?i)^\s*(ju[ií]zo|vara)\s*$"))
-    out = out | ((f == "ESPECIALIDADE") & v.rlike("(?i)pagamento|honor[aá]ri|requis")) | ((f == "PERITO") & v.rlike("(?i)trata|requis|pagamento|honor[aá]ri"))
+    out = out | (v.rlike(r"(?iu)R\$") & ~f.isin(*MONEY_FIELDS)) | v.rlike(r"(?iu)documento\s+assinado|verificador|crc|autentica|sei") | v.rlike("[0-9]{2}/[0-9]{2}/[0-9]{4}")
+    out = out | (f.isin("VARA", "COMARCA") & v.rlike("(?iu)interessad[oa]|promovente|promovido")) | ((f == "VARA") & v.rlike(r"(?iu)^\s*(ju[ií]zo|vara)\s*$"))
+    out = out | ((f == "ESPECIALIDADE") & v.rlike("(?iu)pagamento|honor[aá]ri|requis")) | ((f == "PERITO") & v.rlike("(?iu)trata|requis|pagamento|honor[aá]ri"))
     return F.coalesce((v == "") | out, F.lit(True))
 
 

@@ -14,7 +14,7 @@ from lavra.functions import search
 from lavra.functions import text as T
 
 #: How the words of an electronic or written signature begin: fixed values.
-SIGNATURE = r"(?i)assinado (?:eletronicamente|digitalmente)|assinatura"
+SIGNATURE = r"(?iu)assinado (?:eletronicamente|digitalmente)|assinatura"
 
 
 @dataclass(frozen=True)
@@ -23,6 +23,11 @@ class Query:
 
     rows: DataFrame
     columns: tuple[tuple[str, str], ...] = ()
+    whole: DataFrame | None = None
+
+    def __post_init__(self):
+        if self.whole is None:
+            object.__setattr__(self, "whole", self.rows)
 
     def _c(self, name: str) -> Column:
         return F.col(dict(self.columns).get(name, name))
@@ -54,7 +59,7 @@ class Query:
 
     def font(self, pattern: str) -> Query:
         """With a font whose name fits a wildcard pattern; fonts are a ``;`` list."""
-        rx = f"(?i)^{search.wildcard(pattern)}$"
+        rx = f"(?iu)^{search.wildcard(pattern)}$"
         return self.where(F.exists(F.split(self._c("fonts"), ";"), lambda f: f.rlike(rx)))
 
     def words_between(self, least: int | None = None, most: int | None = None) -> Query:
@@ -119,8 +124,8 @@ class Query:
         return q if high is None else q.where(q._c(column) <= F.lit(high))
 
     def has_children(self, key: str, number: str, parent: str) -> Query:
-        """Bookmarks under which others stand."""
-        parents = self.rows.select(key, F.col(parent).alias(number)).where(F.col(number).isNotNull()).distinct()
+        """Bookmarks under which others of the whole table stand."""
+        parents = self.whole.select(key, F.col(parent).alias(number)).where(F.col(number).isNotNull()).distinct()
         return replace(self, rows=self.rows.join(parents, [key, number], "left_semi"))
 
     def on_pages(self, pages: Query, key: str = "process", page: str = "page") -> Query:
@@ -136,7 +141,7 @@ class Query:
         if excluded is not None:
             q = q.withColumn("excluded_words", F.lit(";".join(t.text for t in search.parse(excluded).terms)))
         if fonts is not None:
-            rx = f"(?i)^{search.wildcard(fonts)}$"
+            rx = f"(?iu)^{search.wildcard(fonts)}$"
             q = q.withColumn("fonts_found", F.array_join(F.array_sort(F.array_distinct(F.filter(F.split(self._c("fonts"), ";"), lambda f: f.rlike(rx)))), ";"))
         return replace(self, rows=q)
 

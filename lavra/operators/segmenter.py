@@ -140,7 +140,7 @@ def attachments(marks: DataFrame, parents: DataFrame, key: str) -> DataFrame:
     ``marks``: key, ``page``, ``title``; ``parents``: key, ``doc_no, start_page, end_page``. Each begins at its bookmark and ends
     before the next one of the same parent.
     """
-    named = marks.where(F.col("title").rlike("(?i)^anexos?$"))
+    named = marks.where(F.col("title").rlike("(?iu)^anexos?$"))
     met = segments.pages_in_ranges(parents, named, key, "page")
     w = Window.partitionBy(key, "doc_no").orderBy("page", "title")
     nxt = F.lead("page").over(w)

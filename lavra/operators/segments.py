@@ -82,6 +82,12 @@ def best_overlap(left: DataFrame, right: DataFrame, key: str, step: int = 16) ->
     return met.groupBy(key, "doc_no").agg(F.max_by(F.struct("other", score.alias("score")), F.struct(score, -F.col("other"))).alias("best")).select(key, "doc_no", "best.other", F.round("best.score", 6).alias("score"))
 
 
+def accepted_overlap(left: DataFrame, right: DataFrame, key: str, least: float = 0.2, small: int = 3, attach: float = 0.5) -> DataFrame:
+    """The best overlaps that count: a score of ``least``, or a range of at most ``small`` pages; ``attached`` from a score of ``attach``."""
+    best = best_overlap(left, right, key).join(left.select(key, "doc_no", (F.col("end_page") - F.col("start_page") + 1).alias("_n")), [key, "doc_no"])
+    return best.where((F.col("score") >= least) | (F.col("_n") <= small)).withColumn("attached", F.col("score") >= attach).drop("_n")
+
+
 def pages_in_ranges(ranges: DataFrame, pages: DataFrame, key: str, page: str) -> DataFrame:
     """Pages with the range that holds them, by an equality on page numbers."""
     each = ranges.withColumn(page, F.explode(F.sequence("start_page", "end_page")))

@@ -61,7 +61,7 @@ def near_words(text, value, pattern: str, reach: int = 120) -> Column:
     """Whether a pattern stands within ``reach`` characters before or after a value's first place in a text."""
     at = F.instr(T.col(text), T.col(value))
     low = F.greatest(at - reach, F.lit(1))
-    return F.coalesce((at > 0) & F.substr(T.col(text), low, at - low + reach).rlike(f"(?i){pattern}"), F.lit(False))
+    return F.coalesce((at > 0) & F.substr(T.col(text), low, at - low + reach).rlike(f"(?iu){pattern}"), F.lit(False))
 
 
 def best_by_segment(segments: DataFrame, keys: list[str], rules: list[Rule], text: str = "text", kind: str = "kind", order: str = "ord", priority: float = 1.0, name: str | None = None, sources: list[tuple[str, tuple[str, ...]]] = []) -> DataFrame:  # noqa: B006
@@ -202,7 +202,7 @@ def best_window(scored: DataFrame, key: str) -> DataFrame:
 
 #: Patterns of fields looked for band by band from the top: fixed values.
 BAND_PATTERNS = (
-    ("PROCESSO_ADMINISTRATIVO", r"Processo\s+n[ºo]\s+([\d.\-/]+)"), ("PROMOVENTE", r"(?is)Requerente:\s*([^\n]{1,120}?)\s+Interessado:"),
+    ("PROCESSO_ADMINISTRATIVO", r"Processo\s+n[ºo]\s+([\d.\-/]+)"), ("PROMOVENTE", r"(?isu)Requerente:\s*([^\n]{1,120}?)\s+Interessado:"),
     ("PERITO", r"Interessado:\s*([^–-]{3,80})[–-]\s*[^\n]{2,80}"), ("ESPECIALIDADE", r"Interessado:\s*[^–-]{3,80}[–-]\s*([^\n]{2,80})"), ("CPF_PERITO", r"CPF\s+([\d.\-]{11,18})"),
     ("PROCESSO_JUDICIAL", r"autos do processo nº\s+([\d.\-/]+)"), ("PROMOVENTE", r"movid[oa]\s+por\s+(.+?),\s*(?:CPF|CNPJ)"), ("PROMOVIDO", r"em face de\s+(.+?),\s*(?:CPF|CNPJ)"),
     ("VALOR_HONORARIOS", r"valor de R\$\s*([\d.,]+)"), ("ASSINANTE", r"Em razão do exposto, autorizo a despesa,[\s\S]{0,400}?([^\n]{1,80})$"),
@@ -223,15 +223,15 @@ def system_marks(c) -> Column:
     rx = lambda p, g=1: F.nullif(F.trim(F.regexp_extract(c, p, g)), F.lit(""))
     number = r"([0-9]{6,7}-[0-9]{2}\.[0-9]{4}\.[0-9]\.[0-9]{2}(?:\.[0-9]{4})?)"
     signed = F.lower(c).contains("assinado eletronicamente")
-    person = r"(?is)Documento assinado eletronicamente por\s+(.+?),\s*(.+?),\s*em"
-    day = rx(r"(?is)assinado eletronicamente.*?em\s*([0-9]{2}/[0-9]{2}/[0-9]{4}).*?[0-9]{2}:[0-9]{2}")
-    hour = rx(r"(?is)assinado eletronicamente.*?em\s*[0-9]{2}/[0-9]{2}/[0-9]{4}.*?([0-9]{2}:[0-9]{2})")
+    person = r"(?isu)Documento assinado eletronicamente por\s+(.+?),\s*(.+?),\s*em"
+    day = rx(r"(?isu)assinado eletronicamente.*?em\s*([0-9]{2}/[0-9]{2}/[0-9]{4}).*?[0-9]{2}:[0-9]{2}")
+    hour = rx(r"(?isu)assinado eletronicamente.*?em\s*[0-9]{2}/[0-9]{2}/[0-9]{4}.*?([0-9]{2}:[0-9]{2})")
     return F.struct(
-        F.coalesce(rx(rf"(?i)Processo\s+n[º°]?\s*{number}"), rx(rf"(?i)SEI\s+{number}")).alias("process"), rx(r"(?i)SEI\s*n[º°]?\s*([0-9]{4,})").alias("document"),
-        rx(r"(?i)CRC\s+([A-Z0-9]+)").alias("crc"), rx(r"(?i)verificador\s+([0-9]{4,})").alias("verifier"),
+        F.coalesce(rx(rf"(?iu)Processo\s+n[º°]?\s*{number}"), rx(rf"(?iu)SEI\s+{number}")).alias("process"), rx(r"(?iu)SEI\s*n[º°]?\s*([0-9]{4,})").alias("document"),
+        rx(r"(?iu)CRC\s+([A-Z0-9]+)").alias("crc"), rx(r"(?iu)verificador\s+([0-9]{4,})").alias("verifier"),
         F.when(signed & rx(person).isNotNull(), F.concat(rx(person), F.lit(" - "), rx(person, 2))).alias("signer"),
         F.when(signed & day.isNotNull(), F.concat(F.date_format(F.try_to_date(day, "dd/MM/yyyy"), "yyyy-MM-dd"), F.lit(" "), hour)).alias("signed_on"),
-        F.nullif(F.regexp_replace(F.regexp_extract(c, r"(?i)https?://\S+autentica\S*", 0), "[.,]+$", ""), F.lit("")).alias("url"),
+        F.nullif(F.regexp_replace(F.regexp_extract(c, r"(?iu)https?://\S+autentica\S*", 0), "[.,]+$", ""), F.lit("")).alias("url"),
     )
 
 
@@ -239,7 +239,7 @@ def text_signatures(bands: DataFrame, keys: list[str], text: str = "text") -> Da
     """``keys, signer``: who signed, from the note of an electronic signature."""
     from lavra.functions.clean import signer_name
 
-    name = F.regexp_extract(F.col(text), r"(?i)documento assinado eletronicamente por\s+([^,\n]+)", 1)
+    name = F.regexp_extract(F.col(text), r"(?iu)documento assinado eletronicamente por\s+([^,\n]+)", 1)
     return bands.where(F.col(text).isNotNull()).select(*keys, name.alias("_n")).where("_n <> ''").select(*keys, signer_name("_n").alias("signer"))
 
 

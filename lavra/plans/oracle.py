@@ -30,7 +30,7 @@ def _joinable(t: str) -> str:
 def _unspaced(c: str) -> str:
     """Single characters with one space between them joined; other white space can't join, so it is doubled first."""
     parts = f"string_split(regexp_replace({c}, '[\\t\\n\\r\\f\\v\\x{{A0}}]', '  ', 'g'), ' ')"
-    return _collapse(f"(select array_to_string(list_transform(list_zip(l, l[2:]), lambda t: t[1] || case when {_joinable('t[1]')} and {_joinable('t[2]')} then '' else ' ' end), '') from (select {parts} as l))")
+    return _collapse(f"array_to_string(list_transform(list_zip({parts}, ({parts})[2:]), lambda t: t[1] || case when {_joinable('t[1]')} and {_joinable('t[2]')} then '' else ' ' end), '')")
 
 
 def _match_key(c: str) -> str:

@@ -147,3 +147,75 @@ def rebuilt(pages: DataFrame, documents: DataFrame, **children: DataFrame) -> Da
         grouped = child.groupBy("process", "page").agg(F.sort_array(F.collect_list(F.struct(*columns))).alias(name))
         out = out.join(grouped, ["process", "page"], "left")
     return out
+
+
+def by_place(rows: DataFrame, place: int, order: str = "created_at") -> DataFrame:
+    """The row at a place, from 1, of all rows from the newest."""
+    return rows.orderBy(F.desc(order), "process").offset(place - 1).limit(1)
+
+
+def by_process(rows: DataFrame, process: str) -> DataFrame:
+    return rows.where(F.col("process") == process)
+
+
+def manifest(files: DataFrame, entries: DataFrame) -> DataFrame:
+    """``process, pdf, from_zip, titles``: of each process its first file and, if it came from an archive, the titles in it."""
+    first = files.groupBy("process").agg(F.min("path").alias("pdf"))
+    titles = entries.groupBy("process").agg(F.transform(F.sort_array(F.collect_list(F.struct("entry_no", "title"))), lambda x: x["title"]).alias("titles"))
+    out = first.join(titles, "process", "full")
+    return out.select("process", F.coalesce("pdf", F.lit("")).alias("pdf"), F.col("titles").isNotNull().alias("from_zip"), F.coalesce("titles", F.array().cast("array<string>")).alias("titles"))
+
+
+PAGE_SCHEMA = "path string, page int, width double, height double, text string"
+
+
+def pages_source(read_pages=None, name: str = "pages"):
+    """A data source (register it with ``spark.dataSource.register``) that gives a row for each page of the files in a folder.
+
+    ``read_pages(path)`` yields ``(page, width, height, text)``; without it form feeds part the pages of text files. A reader of
+    another format is given by whoever has its library; files are read on the workers, one partition a file.
+    """
+    from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+
+    class File(InputPartition):
+        def __init__(self, path: str):
+            self.path = path
+
+    def plain(path: str):
+        text = Path(path).read_text(encoding="utf-8", errors="replace")
+        for i, page in enumerate(text.split("\f"), 1):
+            yield i, None, None, page
+
+    reader = read_pages or plain
+
+    class Reader(DataSourceReader):
+        def __init__(self, options):
+            self.folder, self.pattern = options["path"], options.get("pattern", "*")
+
+        def partitions(self):
+            return [File(str(p)) for p in sorted(Path(self.folder.removeprefix("file:")).rglob(self.pattern)) if p.is_file()]
+
+        def read(self, partition):
+            for page, width, height, text in reader(partition.path):
+                yield partition.path, page, width, height, text
+
+    class Pages(DataSource):
+        @classmethod
+        def name(cls):
+            return name
+
+        def schema(self):
+            return PAGE_SCHEMA
+
+        def reader(self, schema):
+            return Reader(self.options)
+
+    return Pages
+
+
+def checked_path(path: str, allowed: list[str]) -> str:
+    """The path if it lies in one of the allowed folders, else an error."""
+    full = os.path.realpath(path)
+    if not any(full == os.path.realpath(a) or full.startswith(os.path.realpath(a).rstrip("/") + "/") for a in allowed):
+        raise PermissionError(f"{path} lies in none of the allowed folders")
+    return path

@@ -93,7 +93,7 @@ def test_resolve_people(spark):
     cat = spark.createDataFrame([("Ana Lima", "111", "Química", 1), ("Rui Dias", None, "Civil", 2), ("Rui Dias", None, "Naval", 3), ("Bia Reis", "222", None, 4)], "name string, number string, spec string, o int")
     rows = spark.createDataFrame([(1, "x", "1-1-1"), (2, "RUI DÍAS", None), (3, "Bia Reis", "222"), (4, None, None)], "id int, name string, number string")
     got = {r.id: (r.resolved, r.confidence) for r in resolve.resolve_people(rows, cat, "name", "number", "spec", "o").collect()}
-    assert got == {1: ("Química", 0.9), 2: ("Civil", 0.6), 3: (None, None), 4: (None, None)}
+    assert got == {1: ("Química", 0.9), 2: ("Civil", 0.6), 3: (None, 0.9), 4: (None, None)}
 
 
 def test_merging(spark):
@@ -142,13 +142,13 @@ def test_readers(spark, tmp_path):
     (tmp_path / ".env").write_text("LAVRA_WORKERS=3\n# c\n")
     got = readers.settings(str(tmp_path / "s.json"), str(tmp_path / ".env"))
     assert got["min_pages"] == "2" and got["workers"] == "3"
-    kinds = spark.createDataFrame([(0, 0), (0, 1), (50, 1), (49, 1), (500, 0)], "c int, i int").select(readers.page_kind("c", "i")).collect()
-    assert [r[0] for r in kinds] == ["Empty", "ScannedImage", "Mixed", "ScannedImage", "Text"]
+    kinds = spark.createDataFrame([(0, 0), (0, 1), (50, 1), (51, 1), (30, 0), (500, 0)], "c int, i int").select(readers.page_kind("c", "i")).collect()
+    assert [r[0] for r in kinds] == ["Empty", "ScannedImage", "ScannedImage", "Mixed", "ScannedImage", "Text"]
 
 
 def test_sinks(spark, tmp_path):
     df = spark.createDataFrame([("p", 1, 'a;"b"\x07')], "k string, n int, t string")
-    for form in ("json", "csv", "txt", "md", "count", "parquet", "unknown"):
+    for form in ("json", "csv", "txt", "md", "count", "parquet"):
         sinks.write(df, str(tmp_path / form), form)
         assert any(p.stat().st_size for p in (tmp_path / form).iterdir())
     sinks.write(df, str(tmp_path / "by"), "json", by=["k"])
@@ -157,5 +157,14 @@ def test_sinks(spark, tmp_path):
     path = str(tmp_path / "table")
     sinks.merge_into(spark, path, df, "k")
     sinks.merge_into(spark, path, df.withColumn("n", F.lit(2)), "k")
-    assert [tuple(r) for r in spark.read.parquet(path).select("k", "n").collect()] == [("p", 2)]
+    assert [tuple(r) for r in sinks.read_table(spark, path).select("k", "n").collect()] == [("p", 2)]
+    for b in ("1", "1", "2"):  # a batch isn't applied twice
+        sinks.merge_into(spark, path, df.withColumn("n", F.lit(3)).withColumn("k", F.concat("k", F.lit(b))), "k", batch=b)
+    (tmp_path / "table" / "version=000000000099").mkdir()  # a version whose writer crashed isn't read
+    assert {r.k for r in sinks.read_table(spark, path).collect()} == {"p", "p1", "p2"} and sinks.read_table(spark, str(tmp_path / "none")) is None
+    sinks.export_csv(df.withColumn("process", F.col("k")).withColumn("comarca", F.col("t")), str(tmp_path / "export"), ("process", "comarca", "vara"))
+    text = next((tmp_path / "export").glob("part-*")).read_text(encoding="utf-8")
+    assert text == '\ufeffprocess;comarca;vara\np;"a;""b""\x07";\n'
+    with pytest.warns(UserWarning):
+        sinks.write(df, str(tmp_path / "w"), "pdf")
     assert sinks.payload(df.select("k", "n"), ["k"]).first()["payload"] == '[{"n":1}]'

@@ -1,5 +1,6 @@
 import json
 
+from lavra.sources import sinks
 from lavra.streaming import events
 
 
@@ -24,4 +25,4 @@ def test_ingest_twice(spark, tmp_path):
     (folder / "2.json").write_text(json.dumps({"k": "b", "v": 5}))
     run()
     run()
-    assert {tuple(r) for r in spark.read.parquet(table).select("k", "v").collect()} == {("a", 1), ("b", 5)}
+    assert {tuple(r) for r in sinks.read_table(spark, table).select("k", "v").collect()} == {("a", 1), ("b", 5)}

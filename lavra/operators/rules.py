@@ -48,7 +48,7 @@ def candidates(docs: DataFrame, rules: list[Rule], text: str = "text", name: str
 
     def hits(k: int, r: Rule) -> Column:
         pattern = r.pattern if r.kind == "regex" else f"({re.escape(r.pattern)})"
-        flagged = f"(?iu){pattern}"
+        flagged = f"(?iuU){pattern}"
 
         def found(group: int, to: str) -> Column:
             values = F.regexp_extract_all(F.col(text), F.lit(flagged), group)

@@ -109,6 +109,18 @@ def all_money(c) -> Column:
     return F.transform(F.regexp_extract_all(col(c), F.lit(MONEY), 1), money)
 
 
+def currency_values(c) -> Column:
+    """``at, shown, value`` of every amount after R$, cents or not, by its place from 1."""
+    c = col(c)
+    shown = F.regexp_extract_all(c, F.lit(r"(R\$\s*[0-9]{1,3}(?:\.[0-9]{3})*(?:,[0-9]{2})?)"), 1)
+    parts = F.split(c, r"R\$\s*[0-9]{1,3}(?:\.[0-9]{3})*(?:,[0-9]{2})?", -1)
+    start = F.struct(F.lit(1).alias("at"), F.array().cast("array<int>").alias("found"))
+    step = lambda a, x: F.struct((a["at"] + F.length(x["p"]) + F.coalesce(F.length(x["s"]), F.lit(0))).alias("at"), F.concat(a["found"], F.array(a["at"] + F.length(x["p"]))).alias("found"))
+    places = F.aggregate(F.arrays_zip(parts.alias("p"), shown.alias("s")), start, step, lambda a: a["found"])
+    number = lambda x: F.replace(F.replace(F.regexp_replace(x, r"^R\$\s*", ""), F.lit("."), F.lit("")), F.lit(","), F.lit(".")).try_cast("decimal(18,2)")
+    return F.transform(shown, lambda x, i: F.struct(F.get(places, i).alias("at"), x.alias("shown"), number(x).alias("value")))
+
+
 def month_number(name) -> Column:
     """1 to 12 for a Portuguese month name, with or without the cedilla."""
     key = fold(F.lower(col(name)))

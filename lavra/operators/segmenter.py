@@ -69,7 +69,7 @@ def top_margin(text) -> Column:
 
 def uppercase_headers(text) -> Column:
     """The first five lines: .3 for each of five characters or more with over 80 % capitals, .2 more with a court's word, .2 for two such lines; 1 at most."""
-    trimmed = F.transform(T.first_lines(text, 5), F.trim)
+    trimmed = F.transform(T.first_lines(text, 5), lambda x: F.trim(x))
     size = lambda x, rx: F.length(F.regexp_replace(x, rx, ""))
     heads = F.filter(trimmed, lambda x: (F.length(x) >= 5) & (size(x, r"[^\p{L}]") > 0) & (size(x, r"[^\p{Lu}]") > 0.8 * size(x, r"[^\p{L}]")))
     court = F.filter(heads, lambda x: F.exists(F.array(*map(F.lit, HEADER_WORDS)), lambda w: F.contains(x, w)))

@@ -136,3 +136,9 @@ def paragraph_ngrams(paragraphs: DataFrame, index: str, doc: str, text: str, n:
     rows = counts.withColumn("kind", kind).where("kind is not null")
     w = Window.partitionBy(index, "kind").orderBy(F.when(F.col("kind") == "stable", -F.col("df")).otherwise(F.col("df")), F.desc("tf"), "ngram")
     return rows.withColumn("place", F.row_number().over(w)).where(F.col("place") <= top).select(index, "kind", "place", "ngram", "tf", "df")
+
+
+def updated_postings(index: DataFrame, changed: DataFrame, removed: DataFrame, doc: str, text: str) -> DataFrame:
+    """An inverted index after some documents were put in or changed (``doc, text``) and others removed (``doc``); only they are read."""
+    gone = removed.select(F.col(doc).alias("doc")).unionByName(changed.select(F.col(doc).alias("doc"))).distinct()
+    return index.join(gone, "doc", "left_anti").unionByName(postings(changed, doc, text))

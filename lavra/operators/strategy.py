@@ -297,3 +297,53 @@ def hint_snippets(c, hints: list[str], window: int = 220) -> Column:
         return F.when(at > 0, F.substr(n, low, F.lit(window)))
 
     return F.array_distinct(F.array_compact(F.array(*(one(T.match_key(F.lit(h))) for h in hints))))
+
+
+#: Forms of case numbers of the two systems beside the judicial one: fixed values.
+SEI = r"[0-9]{6,7}-[0-9]{2}\.[0-9]{4}\.[0-9]\.[0-9]{2}"
+ADME = r"[0-9]{4}/[0-9]{6}|ADME[ -]?[0-9]+"
+
+
+def template_value(field, value) -> Column:
+    """A template's value in the form its field asks for, null if it doesn't have it."""
+    from lavra.functions import clean as C
+
+    f, v = F.upper(T.col(field)), T.collapse(value)
+    first = lambda *rxs: F.coalesce(*(F.nullif(F.regexp_extract(v, f"({rx})", 1), F.lit("")) for rx in rxs))
+    digits = F.regexp_replace(v, "[^0-9]", "")
+    signer, party = C.person_name(v), C.party_name(v)
+    ok_signer = C.looks_like_signer(signer) & ~T.match_key(signer).rlike("documento|assin")
+    out = F.when(f == "PROCESSO_ADMINISTRATIVO", first(SEI, ADME)).when(f == "PROCESSO_JUDICIAL", first(T.CNJ)).when(f == "CPF_PERITO", first(T.CPF))
+    out = out.when(f.startswith("VALOR_") | (f == "ADIANTAMENTO"), first(r"R\$ *[0-9]{1,3}(?:\.[0-9]{3})*,[0-9]{2}")).when(f == "DATA", T.date_of(v).cast("string")).when(f == "NUM_PERITO", F.when(F.length(digits) >= 6, digits))
+    out = out.when(f == "ASSINANTE", F.when(ok_signer, signer)).when(f.isin("PROMOVENTE", "PROMOVIDO"), F.when(C.looks_like_party(party) & ~C.institutional(party), party))
+    return out.when(f.isin("PERITO", "ESPECIALIDADE", "VARA", "COMARCA"), F.when((F.length(v) <= 140) & (v != ""), v))
+
+
+def suspect(field, value) -> Column:
+    """Whether a found value can't be right for its field: wrong form, one repeated figure, an institution or figures where a person stands."""
+    f, v = F.upper(T.col(field)), F.coalesce(T.col(value), F.lit(""))
+    n = T.collapse(F.lower(v))
+    digits = F.regexp_replace(v, "[^0-9]", "")
+    institution = n.rlike("juizo|vara|comarca|tribunal|diretoria|poder judiciario|secretaria|serventia|cartorio|ministerio publico")
+    bad = F.when(f == "CPF_PERITO", (F.length(digits) != 11) | ((F.length(digits) > 0) & (F.replace(digits, F.substring(digits, 1, 1), F.lit("")) == "")))
+    bad = bad.when(f == "PROCESSO_JUDICIAL", ~v.rlike(T.CNJ)).when(f == "PROCESSO_ADMINISTRATIVO", v.rlike(T.CNJ)).when(f.startswith("VALOR_") | (f == "ADIANTAMENTO"), ~v.rlike(r"[0-9]{1,3}(?:\.[0-9]{3})*,[0-9]{2}"))
+    bad = bad.when(f == "DATA", ~v.rlike("[0-9]{1,2}/[0-9]{1,2}/[0-9]{2,4}|[0-9]{4}-[0-9]{2}-[0-9]{2}")).when(f.isin("PROMOVENTE", "PROMOVIDO", "PERITO", "ASSINANTE"), institution | n.rlike("[0-9]"))
+    bad = bad.when(f.isin("VARA", "COMARCA"), ~n.rlike("vara|comarca") & (F.length(n) < 6))
+    return (F.trim(v) != "") & ~F.trim(v).isin("-") & F.coalesce(bad, F.lit(False))
+
+
+def case_lines(c) -> Column:
+    """``cnj, interested, profession, email, court_line, court, district``: from the first lines of a text that name them."""
+    c = T.col(c)
+    lines = F.filter(F.transform(T.lines(c), lambda x: F.trim(x)), lambda x: x != "")
+    head = F.get(F.filter(lines, lambda x: x.rlike(r"(?iu)^interessad[oa]\s*:\s*.+$")), F.lit(0))
+    rest = F.trim(F.regexp_extract(head, r"(?iu)^interessad[oa]\s*:\s*(.+)$", 1))
+    parts = F.split(rest, r"\s[-–]\s", -1)
+    court = F.get(F.filter(lines, lambda x: x.rlike(r"(?iuU)\b(ju[ií]zo|vara)\b")), F.lit(0))
+    name = F.trim(F.regexp_extract(court, r"(?iuU)(?:ju[ií]zo\s+da\s+|ju[ií]zo\s+do\s+|vara\s+)([^,]+)", 1))
+    name = F.regexp_replace(F.trim(F.get(F.split(name, r"(?iuU)comarca\s+de", 2), F.lit(0))), "[-,.]+$", "")
+    some = lambda x: F.nullif(F.trim(x), F.lit(""))
+    return F.struct(
+        some(F.regexp_extract(c, f"({T.CNJ})", 1)).alias("cnj"), some(F.get(parts, F.lit(0))).alias("interested"), some(F.get(parts, F.lit(1))).alias("profession"), some(F.regexp_extract(rest, r"([\w.+-]+@[\w.-]+)", 1)).alias("email"),
+        some(court).alias("court_line"), some(name).alias("court"), some(F.regexp_extract(court, r"(?iuU)comarca\s+de\s+([^,\-]+)", 1)).alias("district"),
+    )

@@ -654,6 +654,67 @@ def pages_rebuilt(s, d):
     return out.select(F.col("page").alias("page_id"), "k", F.when(F.col("notes").isNotNull(), F.size("notes")).cast("bigint").alias("notes"), F.array_join(F.transform("notes", lambda x: x["evid"].cast("string")), ";").alias("ids"))
 
 
+# ---- values by field, lines of the case, an index kept up to date
+
+
+_VALUES = """(select page_id, unnest(['CPF_PERITO', 'VALOR_X', 'DATA', 'PERITO', 'COMARCA', 'PROCESSO_JUDICIAL', 'NUM_PERITO', 'OUTRO']) as field, l as value from (select page_id, unnest(string_split(text, chr(10))) as l from pages where text is not null))"""
+
+
+def _values(s, d) -> DataFrame:
+    fields = ("CPF_PERITO", "VALOR_X", "DATA", "PERITO", "COMARCA", "PROCESSO_JUDICIAL", "NUM_PERITO", "OUTRO")
+    lines = _pages(s, d).where("text is not null").select("page_id", F.explode(T.lines("text")).alias("value"))
+    return lines.select("page_id", "value", F.explode(F.array(*map(F.lit, fields))).alias("field"))
+
+
+@query(f"""with v as (select field, {_collapse('value')} as v, value from {_VALUES}), w as (select field, case field when 'PROCESSO_JUDICIAL' then nullif(regexp_extract(v, '\\d{{7}}-\\d{{2}}\\.\\d{{4}}\\.\\d\\.\\d{{2}}\\.\\d{{4}}'), '') when 'CPF_PERITO' then nullif(regexp_extract(v, '\\d{{3}}\\.\\d{{3}}\\.\\d{{3}}-\\d{{2}}'), '')
+      when 'VALOR_X' then nullif(regexp_extract(v, 'R\\$ *\\d{{1,3}}(?:\\.\\d{{3}})*,\\d{{2}}'), '') when 'NUM_PERITO' then case when length(regexp_replace(v, '[^0-9]', '', 'g')) >= 6 then regexp_replace(v, '[^0-9]', '', 'g') end when 'PERITO' then case when length(v) between 1 and 140 then v end when 'COMARCA' then case when length(v) between 1 and 140 then v end end as x from v where field <> 'DATA')
+    select field, count(*) as lines, count(x) as accepted, sha1(max(x)) as greatest from w group by field""")
+def template_values(s, d):
+    v = _values(s, d).where("field <> 'DATA'").withColumn("x", strategy.template_value("field", "value"))
+    return v.groupBy("field").agg(F.count("*").alias("lines"), F.count("x").alias("accepted"), F.sha1(F.max("x")).alias("greatest"))
+
+
+@query(f"""with v as (select page_id, field, value, {_collapse('lower(value)')} as n, regexp_replace(value, '[^0-9]', '', 'g') as g from {_VALUES} where trim(value) not in ('', '-')),
+    b as (select *, coalesce(case field when 'CPF_PERITO' then length(g) <> 11 or replace(g, g[1:1], '') = '' when 'VALOR_X' then not regexp_matches(value, '\\d{{1,3}}(?:\\.\\d{{3}})*,\\d{{2}}') when 'DATA' then not regexp_matches(value, '\\d{{1,2}}/\\d{{1,2}}/\\d{{2,4}}|\\d{{4}}-\\d{{2}}-\\d{{2}}')
+      when 'PERITO' then regexp_matches(n, 'juizo|vara|comarca|tribunal|diretoria|poder judiciario|secretaria|serventia|cartorio|ministerio publico|[0-9]') when 'COMARCA' then not regexp_matches(n, 'vara|comarca') and length(n) < 6 when 'PROCESSO_JUDICIAL' then not regexp_matches(value, '\\d{{7}}-\\d{{2}}\\.\\d{{4}}\\.\\d\\.\\d{{2}}\\.\\d{{4}}') end, false) as bad from v),
+    r as (select unnest(['CPF_PERITO', 'DATA', 'PERITO', 'NADA']) as field), t as (select count(distinct page_id) as n from v), a as (select field, count(distinct page_id) as filled, count_if(length(value) < 30) as low_conf, count_if(bad) as suspects from b group by 1),
+    m as (select field, string_agg(k || '=' || n, ';' order by k) as methods from (select field, cast(page_id % 3 as varchar) as k, count(*) as n from b group by all) group by 1), e as (select field, string_agg(value, '|' order by value) as examples from (select field, value, row_number() over (partition by field order by value) as k from (select distinct field, value from b where bad)) where k <= 5 group by 1)
+    select r.field, coalesce(filled, 0) as filled, t.n - coalesce(filled, 0) as missing, coalesce(low_conf, 0) as low_conf, coalesce(suspects, 0) as suspects, coalesce(methods, '') as methods, coalesce(sha1(examples), '') as examples from r cross join t left join a using (field) left join m using (field) left join e using (field)""")
+def field_report(s, d):
+    """Every line of the pages as a value of some fields: filled, missing, unsure and suspect ones, and by what they were found."""
+    v = _values(s, d).where("trim(value) not in ('', '-')").withColumn("weight", F.length("value").cast("double")).withColumn("method", F.col("page_id") % 3)
+    out = statistics.field_report(v, ["page_id"], ["CPF_PERITO", "DATA", "PERITO", "NADA"], 30.0, "method", strategy.suspect("field", "value"))
+    return out.withColumn("examples", F.when(F.col("examples") == "", "").otherwise(F.sha1("examples")))
+
+
+@query("""with p as (select page_id, text, regexp_extract_all(text, '(R\\$\\s*[0-9]{1,3}(?:\\.[0-9]{3})*(?:,[0-9]{2})?)', 1) as x, regexp_split_to_array(text, 'R\\$\\s*[0-9]{1,3}(?:\\.[0-9]{3})*(?:,[0-9]{2})?') as y from pages where text is not null),
+    e as (select page_id, unnest(x) as shown, unnest(range(1, len(x) + 1)) as i, x, y from p)
+    select page_id, cast(1 + list_sum(list_transform(y[1:i], lambda s: length(s))) + coalesce(list_sum(list_transform(x[1:i - 1], lambda s: length(s))), 0) as integer) as at, shown, try_cast(replace(replace(regexp_replace(shown, '^R\\$\\s*', ''), '.', ''), ',', '.') as decimal(18,2)) as value from e""")
+def currency_places(s, d):
+    return _pages(s, d).where("text is not null").select("page_id", F.explode(T.currency_values("text")).alias("v")).select("page_id", "v.*")
+
+
+@query("""with l as (select page_id, text, list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x)), lambda x: x <> '') as ls from (select page_id, case when page_id % 2 = 0 then 'Interessada: Ana Lima - Engenheira ana@x.test' || chr(10) else '' end || text as text from pages where text is not null)),
+    h as (select page_id, text, list_filter(ls, lambda x: regexp_matches(x, '(?i)^interessad[oa]\\s*:\\s*.+$'))[1] as head, list_filter(ls, lambda x: regexp_matches(x, '(?i)(^|[^\\p{L}\\p{N}_])(ju[ií]zo|vara)($|[^\\p{L}\\p{N}_])'))[1] as court from l),
+    r as (select *, trim(regexp_extract(head, '(?i)^interessad[oa]\\s*:\\s*(.+)$', 1)) as rest from h)
+    select page_id, nullif(regexp_extract(text, '\\d{7}-\\d{2}\\.\\d{4}\\.\\d\\.\\d{2}\\.\\d{4}'), '') as cnj, nullif(trim(regexp_split_to_array(rest, '\\s[-–]\\s')[1]), '') as interested, nullif(trim(regexp_split_to_array(rest, '\\s[-–]\\s')[2]), '') as profession, nullif(regexp_extract(rest, '([\\w.+-]+@[\\w.-]+)', 1), '') as email, court as court_line,
+      nullif(trim(regexp_extract(court, '(?i)comarca\\s+de\\s+([^,\\-]+)', 1)), '') as district from r""")
+def case_lines(s, d):
+    p = _pages(s, d).where("text is not null").select("page_id", F.concat(F.when(F.col("page_id") % 2 == 0, "Interessada: Ana Lima - Engenheira ana@x.test\n").otherwise(""), "text").alias("text"))
+    return p.select("page_id", strategy.case_lines("text").alias("c")).select("page_id", "c.cnj", "c.interested", "c.profession", "c.email", "c.court_line", "c.district")
+
+
+@query(f"""with d as (select doc_id, case when doc_id % 10 = 0 then 'vistoria nova do perito' else text end as text from documents where text is not null and doc_id % 7 <> 0), t as (select doc_id as doc, unnest(list_filter(regexp_split_to_array(lower({_fold('text')}), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '')) as token from d)
+    select token, count(distinct doc) as docs, count(*) as tf from t where token in ('vistoria', 'perito', 'nova') group by token""")
+def fts_update(s, d):
+    """An index of all documents after every tenth was changed and every seventh removed."""
+    docs = table(s, d, "documents").where("text is not null").select("doc_id", "text")
+    index = statistics.postings(docs, "doc_id", "text")
+    changed = docs.where("doc_id % 10 = 0 and doc_id % 7 <> 0").select("doc_id", F.lit("vistoria nova do perito").alias("text"))
+    new = statistics.updated_postings(index, changed, docs.where("doc_id % 7 = 0"), "doc_id", "text")
+    return new.where("token in ('vistoria', 'perito', 'nova')").groupBy("token").agg(F.count("*").alias("docs"), F.sum("tf").alias("tf"))
+
+
 def queries() -> dict:
     return dict(QUERIES)
 

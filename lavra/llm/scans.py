@@ -609,19 +609,48 @@ def as_written(word: str, like: str) -> str:
 _amounts = Amounts()
 
 
-def fix_token(token: str, before: str, after: str, fixes: dict[str, list[str]], pairs: dict[tuple[str, str], int]) -> str:
-    """A token with its misread word or amount restored; the word beside it decides between candidates."""
-    core = token.strip(_OUT)
-    if not core:
-        return token
-    at = len(token) - len(token.lstrip(_OUT))
-    if any(c.isdigit() for c in core) and (amount := _amounts.printed(core)):
-        return token[:at] + amount + token[at + len(core) :]
-    found = fixes.get(core.lower())
-    if not found:
-        return token
-    best = min(range(len(found)), key=lambda i: (-pairs.get((before, found[i]), 0) - pairs.get((found[i], after), 0), i))
-    return token[:at] + as_written(found[best], core) + token[at + len(core) :]
+class Fixer:
+    """Restores the misread words and amounts of lines; what a token alone decides is remembered."""
+
+    def __init__(self, fixes: dict[str, list[str]]):
+        self.fixes, self.seen = fixes, {}
+
+    def look(self, token: str) -> None | str | tuple[int, str, list[str]]:
+        """None: nothing to restore; the token restored; or the place of its word, the word, and candidates to choose from."""
+        core = token.strip(_OUT)
+        if not core:
+            return None
+        at = len(token) - len(token.lstrip(_OUT))
+        if any(c.isdigit() for c in core) and (amount := _amounts.printed(core)):
+            return token[:at] + amount + token[at + len(core) :]
+        found = self.fixes.get(core.lower())
+        if not found:
+            return None
+        return token[:at] + as_written(found[0], core) + token[at + len(core) :] if len(found) == 1 else (at, core, found)
+
+    def __call__(self, line: str, pairs: dict[tuple[str, str], int]) -> str:
+        """The line restored; the words beside a misread one, as they stand, decide between its candidates."""
+        ts, out = line.split(" "), None
+        seen = self.seen
+        for i, t in enumerate(ts):
+            got = seen.get(t, 0)
+            if got == 0:
+                if len(seen) > 300_000:
+                    seen.clear()
+                got = seen[t] = self.look(t)
+            if got is None:
+                continue
+            if out is None:
+                out = [*ts]
+            if isinstance(got, str):
+                out[i] = got
+                continue
+            at, core, found = got
+            before = ts[i - 1].strip(_OUT).lower() if i else ""
+            after = ts[i + 1].strip(_OUT).lower() if i + 1 < len(ts) else ""
+            best = min(range(len(found)), key=lambda k: (-pairs.get((before, found[k]), 0) - pairs.get((found[k], after), 0), k))
+            out[i] = t[:at] + as_written(found[best], core) + t[at + len(core) :]
+        return line if out is None else " ".join(out)
 
 
 def reflow(lines: list[str], known: dict[str, int]) -> str:
@@ -684,6 +713,7 @@ def repaired(pages: DataFrame, ratio: float = 20.0, block: int = 200_000) -> Dat
 
         def run(batches, sent=sent, last=b == blocks - 1, first=b == 0):
             fixes, pairs, known = sent.value
+            fixer = Fixer(fixes)
 
             def one(number, text, heads, beside):
                 if not text:
@@ -693,7 +723,7 @@ def repaired(pages: DataFrame, ratio: float = 20.0, block: int = 200_000) -> Dat
                     drop = set(heads or ()) | set(page_number_lines(text, number))
                     lines = [x for i, x in enumerate(lines, 1) if i not in drop]
                 near = {(x["a"], x["b"]): x["n"] for x in beside or ()} if pairs is None else pairs
-                out = [" ".join(fix_token(t, before, after, fixes, near) for t, before, after in with_neighbours(x)) for x in lines]
+                out = [fixer(x, near) for x in lines]
                 return reflow(out, known) if last and known is not None else "\n".join(out)
 
             for ids, numbers, texts, heads, beside in batches:

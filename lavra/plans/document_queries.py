@@ -715,6 +715,108 @@ def fts_update(s, d):
     return new.where("token in ('vistoria', 'perito', 'nova')").groupBy("token").agg(F.count("*").alias("docs"), F.sum("tf").alias("tf"))
 
 
+# ---- repairs of text, other ways to lines and paragraphs, archives and writers
+
+_SPACED = "l"
+for _rx, _to in (("([,:;])(\\S)", "\\1 \\2"), ("([,:;])(\\S)", "\\1 \\2"), ("(\\))(\\S)", "\\1 \\2"), ("(\\))(\\S)", "\\1 \\2"), ("(\\S)(\\()", "\\1 \\2"), ("(\\S)(\\()", "\\1 \\2"), ("([A-Za-zÀ-ÿ])([0-9])", "\\1 \\2"), ("([0-9])([A-Za-zÀ-ÿ])", "\\1 \\2")):
+    _SPACED = f"regexp_replace({_SPACED}, '{_rx}', '{_to}', 'g')"
+
+
+@query(f"""with v as (select page_id, unnest(string_split(text, chr(10))) as l from pages where text is not null), w as (select page_id, case when page_id % 2 = 0 then array_to_string(list_transform(string_split(l, ''), lambda c: c || c), '') else l end as d, case when page_id % 3 = 0 then array_to_string(string_split(l, ''), ' ') else l end as sp, l from v),
+    u as (select page_id, d, sp, l, list_transform(range(1, length(d), 2), lambda i: d[i] = d[i + 1]) as eq from w)
+    select page_id, count(*) as lines, count(distinct {_collapse(_SPACED)}) as spaced, cast(sum(length({_collapse(_SPACED)})) as bigint) as spaced_chars, cast(sum(length({_unspaced('sp')})) as bigint) as joined_chars,
+      cast(sum(case when length(d) >= 4 and length(d) % 2 = 0 and len(list_filter(eq, lambda x: x)) >= greatest(3, ceil(0.7 * length(d) / 2)) then length(d) // 2 else length(d) end) as bigint) as single_chars from u group by page_id""")
+def text_repairs(s, d):
+    """Lines with spaces set, lines whose letters were spaced, and lines whose letters were doubled, each repaired."""
+    v = _pages(s, d).where("text is not null").select("page_id", F.explode(T.lines("text")).alias("l"))
+    chars = F.split("l", "")
+    v = v.withColumn("d", F.when(F.col("page_id") % 2 == 0, F.array_join(F.transform(chars, lambda c: F.concat(c, c)), "")).otherwise(F.col("l"))).withColumn("sp", F.when(F.col("page_id") % 3 == 0, F.array_join(chars, " ")).otherwise(F.col("l")))
+    v = v.select("page_id", T.spaced_punctuation("l").alias("a"), T.unspaced("sp").alias("b"), T.undoubled("d").alias("c"))
+    return v.groupBy("page_id").agg(F.count("*").alias("lines"), F.countDistinct("a").alias("spaced"), F.sum(F.length("a")).alias("spaced_chars"), F.sum(F.length("b")).alias("joined_chars"), F.sum(F.length("c")).alias("single_chars"))
+
+
+@query(f"with {_GEO} select page_id, count(distinct row) as by_first, count(distinct row) as by_mean, count(distinct row) as by_bucket from geo group by page_id")
+def greedy_lines(s, d):
+    """Lines .012 apart are told apart within .004 whichever word of a line the next is held against."""
+    g = _geo(s, d).drop("line_no")
+    ways = [layout.greedy_lines(g, ["page_id"], 0.004, k).groupBy("page_id").agg(F.max("line_no").cast("bigint").alias(f"by_{k}")) for k in ("first", "mean", "bucket")]
+    return ways[0].join(ways[1], "page_id").join(ways[2], "page_id")
+
+
+@query(f"""with {_GEO}, l as (select distinct page_id, row from geo), g as (select page_id, row, case when row - lag(row) over (partition by page_id order by row) = 1 then 0 else 1 end as nw from l), t as (select page_id, row, array_to_string(list(text order by i), ' ') as text from geo group by all),
+    p as (select page_id, row, sum(nw) over (partition by page_id order by row rows unbounded preceding) as paragraph_no from g)
+    select page_id, cast(paragraph_no as bigint) as paragraph_no, sha1(string_agg(text, chr(10) order by row)) as sha1 from p join t using (page_id, row) group by all""")
+def geometry_paragraphs(s, d):
+    """A blank line leaves a gap of .014, lines that follow each other one of .002."""
+    lines = _geo(s, d).groupBy("page_id", "line_no").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("i", "text"))), lambda x: x["text"]), " ").alias("text"), F.min("y0").alias("y0"), F.max("y1").alias("y1"))
+    return layout.paragraphs(lines, ["page_id"], 0.01).select("page_id", "paragraph_no", F.sha1("text").alias("sha1"))
+
+
+@query(f"""with {_GEO}, y as (select row, (y0 + y1) / 2 as y, text from geo) select case when y >= 0.88 then 'b1' when y >= 0.8 then 'b2' when y >= 0.65 then 'b3' when y >= 0.5 then 'b4' when y >= 0.35 then 'b5' when y >= 0.2 then 'b6' else 'footer' end as seven,
+    case when y >= 0.85 then 'header' when y >= 0.7 then 'subheader' when y >= 0.15 then 'body' else 'footer' end as coarse, count(*) as words from (select round(y, 6) as y, text from y) group by all""")
+def page_bands(s, d):
+    y = F.round((F.col("y0") + F.col("y1")) / 2, 6)
+    return _geo(s, d).withColumn("y", y).groupBy(layout.band("y", "seven").alias("seven"), layout.band("y", "coarse").alias("coarse")).agg(F.count("*").alias("words"))
+
+
+@query("""with p as (select page_id, [612, 595, 612, 420, 842, 600][cast(page_id % 6 as integer) + 1] + page_id % 4 as w, [792, 842, 1008, 595, 1191, 600][cast(page_id % 6 as integer) + 1] as h from pages), q as (select page_id, case when page_id % 5 = 0 then h else w end as w, case when page_id % 5 = 0 then w else h end as h from p), k as (select page_id, least(w, h) as a, greatest(w, h) as b from q)
+    select case when abs(a - 612) <= 2 and abs(b - 792) <= 2 then 'Letter' when abs(a - 595) <= 2 and abs(b - 842) <= 2 then 'A4' when abs(a - 612) <= 2 and abs(b - 1008) <= 2 then 'Legal' when abs(a - 842) <= 2 and abs(b - 1191) <= 2 then 'A3' when abs(a - 420) <= 2 and abs(b - 595) <= 2 then 'A5' else 'Custom' end as paper, count(*) as pages from k group by 1""")
+def paper_sizes(s, d):
+    i = (F.col("page_id") % 6).cast("int")
+    p = _pages(s, d).select("page_id", (F.get(F.array(*map(F.lit, (612, 595, 612, 420, 842, 600))), i) + F.col("page_id") % 4).alias("w"), F.get(F.array(*map(F.lit, (792, 842, 1008, 595, 1191, 600))), i).alias("h"))
+    turned = F.col("page_id") % 5 == 0
+    return p.select(T.paper(F.when(turned, F.col("h")).otherwise(F.col("w")), F.when(turned, F.col("w")).otherwise(F.col("h"))).alias("paper")).groupBy("paper").agg(F.count("*").alias("pages"))
+
+
+@query("""with e as (select n_regionkey, n_name, row_number() over (partition by n_regionkey order by n_name || '.pdf') as entry_no, length(n_name) as pages from nation)
+    select lpad(cast(n_regionkey as varchar), 4, '0') as process, cast(entry_no as integer) as entry_no, n_name as title, sum(pages) over w - pages + 1 as start_page, sum(pages) over w as end_page from e window w as (partition by n_regionkey order by entry_no rows unbounded preceding)""")
+def archive_entries(s, d):
+    """An archive for each region with a file for each of its nations, as many pages as its name has letters."""
+    import io
+    import zipfile
+
+    from pyspark.sql.functions import udf
+
+    @udf("binary")
+    def packed(names):
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w") as z:
+            for n in names:
+                z.writestr(f"{n}.pdf", n)
+            z.writestr("notes.txt", "x")
+        return out.getvalue()
+
+    zips = table(s, d, "nation").groupBy("n_regionkey").agg(packed(F.collect_list("n_name")).alias("content"))
+    zips = zips.select(F.lpad(F.col("n_regionkey").cast("string"), 4, "0").alias("process"), F.concat(F.lit("/in/"), F.col("n_regionkey"), F.lit(".zip")).alias("path"), "content")
+    entries = readers.archive_entries(zips).withColumn("pages", F.length("content").cast("bigint"))
+    return readers.entry_ranges(entries).select("process", "entry_no", "title", "start_page", "end_page")
+
+
+@query("""select n_nationkey, n_name, n_regionkey, form from (select n_nationkey, case when n_regionkey = 1 then 'new ' || n_name else n_name end as n_name, n_regionkey, unnest(['replaced', 'csv', 'json', 'parquet', 'merged']) as form from nation) where form = 'replaced'
+    union all select n_nationkey, n_name, n_regionkey, unnest(['csv', 'json', 'parquet']) from nation union all select n_nationkey, case when n_regionkey = 1 then 'new ' || n_name else n_name end, n_regionkey, 'merged' from nation""")
+def written_tables(s, d):
+    """A small table written in several forms, with one group replaced and with one group merged, read back."""
+    import uuid
+
+    from lavra.runtime import shared_dir
+    from lavra.sources import sinks
+
+    n = table(s, d, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    new = n.where("n_regionkey = 1").withColumn("n_name", F.concat(F.lit("new "), "n_name"))
+    path = f"{shared_dir(s).rstrip('/')}/lavra-{uuid.uuid4().hex}"
+    for rows in (n, new):
+        sinks.replace_groups(rows, f"{path}/replaced", "n_regionkey")
+        sinks.merge_into(s, f"{path}/merged", rows, "n_nationkey")
+    for form in ("csv", "json", "parquet"):
+        sinks.write(n, f"{path}/{form}", form)
+    back = {"replaced": s.read.schema(n.schema).parquet(f"{path}/replaced"), "merged": sinks.read_table(s, f"{path}/merged"), "csv": s.read.schema(n.schema).option("header", "true").option("sep", ";").csv(f"{path}/csv"), "json": s.read.schema(n.schema).json(f"{path}/json"), "parquet": s.read.parquet(f"{path}/parquet")}
+    out = None
+    for form, df in back.items():
+        df = df.select(*n.columns, F.lit(form).alias("form"))
+        out = df if out is None else out.unionByName(df)
+    return out
+
+
 def queries() -> dict:
     return dict(QUERIES)
 

@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -134,21 +139,83 @@ def text_by_gap_ratio(words: DataFrame, keys: list[str]) -> DataFrame:
     return lines.select(*keys, "line_no", F.trim(_text_with(lambda gap: F.when(gap > F.col("_limit"), 1).otherwise(0))).alias("text"))
 
 
+#: Rows of a batch whose lines are worked on at once.
+ROWS_AT_ONCE = 1000
+_SPACES = pa.array([" " * n for n in range(41)])
+
+
 def text_by_metrics(words: DataFrame, keys: list[str]) -> DataFrame:
     """Lines with as many spaces (1 to 40) as characters fit into a gap.
 
     Where 60 % or more of the words are single letters, only gaps of four times the median gap (.02 to 1.2 characters) are spaces.
     """
+    lines = words.groupBy(*keys, "line_no").agg(F.sort_array(F.collect_list(F.struct("x0", "x1", "text"))).alias("_w"))
+    lines = lines.select(*keys, "line_no", F.transform("_w", lambda w: F.struct(w["x0"].cast("double").alias("x0"), w["x1"].cast("double").alias("x1"), w["text"].cast("string").alias("text"))).alias("_w"))
+
+    def read(batch: pa.RecordBatch) -> tuple:
+        w = batch.column("_w")
+        x0, x1, text = w.flatten().flatten()
+        return np.arange(len(w)), batch.column("line_no"), w.value_lengths().to_numpy(), x0.to_numpy(zero_copy_only=False), x1.to_numpy(zero_copy_only=False), text
+
+    return read_by_metrics(lines, keys, read, dict(lines.dtypes)["line_no"])
+
+
+def read_by_metrics(rows: DataFrame, keys: list[str], read: Callable, number: str = "int") -> DataFrame:
+    """As :func:`text_by_metrics` where each row has its lines whole: they are read where the row is, and no word is shuffled.
+
+    ``read`` takes a batch of rows; it returns, for each line, its row in the batch, its number (of type ``number``) and its words, which aren't
+    none; then, for the words of all lines from left to right, ``x0``, ``x1`` (NaN if null) and the texts.
+    """
     from lavra.functions.text import unspaced
 
-    lines = _line_words(words, keys)
-    char = F.when(F.col("_char") > 0, F.col("_char")).otherwise(1.0)
-    middle = F.get("_gaps", F.floor(F.size("_gaps") / 2).cast("int")) / char
-    spaced = (F.col("_singles") >= 0.6) & (F.size("_w") > 2) & (F.size("_gaps") > 0)
-    lines = lines.withColumn("_c", char).withColumn("_least", F.when(spaced, F.least(F.greatest(middle * 4, F.lit(0.02)), F.lit(1.2)) * char).otherwise(0.0))
-    spaces = lambda gap: F.when((gap > 0) & (gap >= F.col("_least")), F.least(F.greatest(F.bround(gap / F.col("_c"), 0), F.lit(1.0)), F.lit(40.0))).otherwise(0.0)
-    text = F.rtrim(_text_with(spaces))
-    return lines.withColumn("text", text).withColumn("text", F.when(F.col("_singles") >= 0.6, unspaced("text")).otherwise(F.col("text"))).where("text <> ''").select(*keys, "line_no", "text")
+    def run(batches):
+        for batch in batches:
+            for k in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(k, ROWS_AT_ONCE)
+                at, line_no, counts, x0, x1, text = read(part)
+                texts, singles = _metric_texts(counts, x0, x1, text)
+                columns = [*(part.column(c).take(pa.array(at)) for c in keys), line_no, texts, pa.array(singles)]
+                yield pa.RecordBatch.from_arrays(columns, names=[*keys, "line_no", "text", "_singles"])
+
+    types = dict(rows.dtypes)
+    lines = rows.mapInArrow(run, ", ".join([*(f"`{k}` {types[k]}" for k in keys), f"line_no {number}", "text string", "_singles boolean"]))
+    return lines.withColumn("text", F.when(F.col("_singles"), unspaced("text")).otherwise(F.col("text"))).where("text <> ''").select(*keys, "line_no", "text")
+
+
+def _sorted_by_line(line: np.ndarray, values: np.ndarray, lines: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The values of each line in order; where each line's begin, and how many there are."""
+    n = np.bincount(line, minlength=lines)
+    return values[np.lexsort((values, line.astype("uint16") if lines <= 1 << 16 else line))], np.cumsum(n) - n, n
+
+
+def _metric_texts(counts: np.ndarray, x0: np.ndarray, x1: np.ndarray, text: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Text of each line, and whether 60 % or more of its words are single letters."""
+    ends = np.cumsum(counts, dtype="int64")
+    line = np.repeat(np.arange(len(counts)), counts)
+    length = pc.fill_null(pc.utf8_length(text), 0).to_numpy(zero_copy_only=False)
+    with np.errstate(all="ignore"):
+        width = (x1 - x0) / length
+    some = (length > 0) & (width > 0)
+    v, at, n = _sorted_by_line(line[some], width[some], len(counts))
+    has, char = n > 0, np.bincount(line, weights=x1 - x0, minlength=len(counts)) / counts
+    char[has] = (v[(at + (n - 1) // 2)[has]] + v[(at + n // 2)[has]]) / 2
+    char[~(char > 0)] = 1.0
+    gap = np.zeros(len(line))
+    gap[1:] = x0[1:] - x1[:-1]
+    gap[ends - counts] = 0
+    single = pc.fill_null(pc.equal(pc.utf8_length(pc.utf8_trim(text, characters=" ")), 1), False).to_numpy(zero_copy_only=False)
+    singles = np.bincount(line[single], minlength=len(counts)) / counts >= 0.6
+    least = np.zeros(len(counts))
+    if (some := singles[line] & (gap > 0)).any():
+        v, at, n = _sorted_by_line(line[some], gap[some], len(counts))
+        spaced = singles & (counts > 2) & (n > 0)
+        least[spaced] = np.clip(v[(at + n // 2)[spaced]] / char[spaced] * 4, 0.02, 1.2) * char[spaced]
+    spaces = np.zeros(len(line), "int8")
+    some = (gap > 0) & (gap >= least[line])
+    spaces[some] = np.clip(np.rint(gap[some] / char[line[some]]), 1, 40)
+    words = pc.binary_join_element_wise(_SPACES.take(pa.array(spaces)), text, "")
+    lines = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), words)
+    return pc.utf8_rtrim(pc.binary_join(lines, ""), characters=" "), singles
 
 
 def text_by_width(words: DataFrame, keys: list[str], factor: float = 0.6) -> DataFrame:

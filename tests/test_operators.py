@@ -4,6 +4,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from lavra.operators import layout, resolve, rules, segments, statistics
 from lavra.sources import readers, sinks
 
@@ -55,6 +56,28 @@ def test_lines_and_bands(spark):
     assert layout.paragraphs(layout.line_text(layout.chained_lines(w, ["page"], 0.015), ["page"]), ["page"]).count() == 2
 
 
+def test_lines_by_metrics(spark):
+    rows = [("a", None, 0.1, 0.11), ("b", "Po", 0.1, 0.12), ("b", "der", 0.12, 0.15), ("b", "Judiciário ", 0.17, 0.28), ("b", "longe", 0.98, 1.03), ("c", "x", 0.1, 0.11), ("c", "y", None, 0.13), ("d", " ", 0.1, 0.11)]
+    rows += [("e", t, 0.1 + 0.012 * i, 0.11 + 0.012 * i) for i, t in enumerate("PODER")] + [("f", t, 0.1 + i * 0.03, 0.12 + i * 0.03) for i, t in enumerate(("dois", "três", "um"))]
+    w = spark.createDataFrame(rows, "page string, text string, x0 double, x1 double").withColumn("line_no", F.lit(1))
+    got = {r.page: r.text for r in layout.text_by_metrics(w.repartition(3), ["page"]).collect()}
+    # a null word leaves no line; 70 characters of gap are 40 spaces, a null place is no gap; 2.5 characters are two spaces
+    assert got == {"b": "Poder  Judiciário  " + " " * 39 + "longe", "c": "yx", "e": "PODER", "f": "dois  três  um"}
+
+
+def test_metric_lines_at_size(spark, tmp_path):
+    """Only a row for each page is shuffled, never words; long rows, blank pages and many rows are whole."""
+    long, many = " ".join(["palavra"] * 2000), "\n".join(f"linha {i} é" for i in range(10, 2510))
+    pages = [(0, long), (1, f"um\n\n  {long} "), (2, many), (3, " \n"), (4, None), (5, ""), (6, "a b c d e\na b c dd ee\na b cc dd ee")]
+    spark.createDataFrame(pages, "page_id bigint, text string").write.parquet(str(tmp_path / "pages.parquet"))
+    df = entry.queries()["metric_lines"](spark, str(tmp_path))
+    plan = df._jdf.queryExecution().sparkPlan().toString()
+    assert "Window" not in plan and "collect_list" not in plan
+    chars = lambda x, n: sum(len(y.replace(" ", "")) + (len(y.split()) - 1) * n for y in x.split("\n") if y.strip())
+    want = {(0, 1, chars(long, 1)), (1, 2, chars(pages[1][1], 2)), (2, 2500, chars(many, 3)), (6, 1, 12)}
+    assert {tuple(r) for r in df.collect()} == want
+
+
 def test_align_value(spark):
     w = spark.createDataFrame([(1, i, t) for i, t in enumerate("O perito João da Silva , João da Costa".split())], "page int, pos int, text string")
     v = spark.createDataFrame([(1, "João da Costa"), (1, "João Costa"), (1, " ")], "page int, value string")
